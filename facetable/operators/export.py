@@ -15,15 +15,15 @@ from facetable.functions.names import flat_name, quote, staged_name
 # takes the target as an option.
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "xml")
 
-# Options that bring every string and every microsecond back when used for both
-# writing and reading: doubled quotes, outer blanks kept, NULL told from ''.
+# Options that bring every value back when used for both writing and reading:
+# quotes are doubled, outer blanks and microseconds are kept, NULL is told from ''.
+# NULL is written as \N, the one text that reads back as something else.
 LOSSLESS_CSV = {
     **MICROSECONDS,
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "nullValue": "\\N",
-    "emptyValue": "",
     "multiLine": "true",
 }
 

@@ -189,7 +189,7 @@ ACCEPTANCE["sql_window_rank"] = (
     ), banded AS (
       SELECT /*+ BROADCAST(hot) */ o_custkey, o_orderkey, o_totalprice, is_hot,
              CASE WHEN is_hot THEN floor(o_totalprice / 100) ELSE 0 END AS band
-      FROM orders LEFT JOIN hot ON o_custkey <=> hot_key
+      FROM orders LEFT JOIN hot ON o_custkey = hot_key
     ), above AS (
       SELECT o_custkey AS above_key, band AS above_band,
              sum(orders) OVER (
@@ -207,7 +207,7 @@ ACCEPTANCE["sql_window_rank"] = (
     )
     SELECT o_custkey, o_orderkey, o_totalprice,
            place + coalesce(orders_above, 0) AS place
-    FROM placed LEFT JOIN above ON o_custkey <=> above_key AND band = above_band
+    FROM placed LEFT JOIN above ON o_custkey = above_key AND band = above_band
     """,
 )
 
@@ -243,7 +243,7 @@ ACCEPTANCE["sql_window_frame"] = (
                   THEN unix_date(CAST(ts AS DATE)) * 1440 + hour(ts) * 60 + minute(ts)
                   ELSE 0
              END AS slice
-      FROM events LEFT JOIN hot ON user_id <=> hot_key
+      FROM events LEFT JOIN hot ON user_id = hot_key
     ), framed AS (
       SELECT event_id, user_id, ts, value,
              row_number() OVER (PARTITION BY user_id, slice ORDER BY ts, event_id) AS nth,

@@ -170,10 +170,10 @@ def event_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return from_events(to_events(rows, form="json"), rows.schema, form="json")
 
 
-def _stream(spark: SparkSession, table_name: str, form: str, options: dict) -> DataFrame:
+def _stream(spark: SparkSession, table_name: str, form: str) -> DataFrame:
     """Send a whole table through a stream to files, and read the messages."""
     sink = scratch_path(spark, "messages")
-    rows = read_changes(spark, table_name, start_ms=0, options=options)
+    rows = read_changes(spark, table_name, start_ms=0)
     query = write_events(
         to_events(rows, form),
         checkpoint=scratch_path(spark, "checkpoint"),
@@ -186,14 +186,13 @@ def _stream(spark: SparkSession, table_name: str, form: str, options: dict) -> D
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     table = _create(spark, folder, "events", scratch_database(spark, "stream"))
-    return from_events(_stream(spark, table, "text", {}))
+    return from_events(_stream(spark, table, "text"))
 
 
 def stream_events_parsed(spark: SparkSession, folder: str) -> DataFrame:
     table = _create(spark, folder, "conversations", scratch_database(spark, "stream"))
     schema = scan_table(spark, table).schema
-    messages = _stream(spark, table, "json", {"maxFilesPerTrigger": "1000"})
-    return from_events(messages, schema, form="json")
+    return from_events(_stream(spark, table, "json"), schema, form="json")
 
 
 # Exports
@@ -257,10 +256,16 @@ def table_describe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def catalog_list(spark: SparkSession, folder: str) -> DataFrame:
-    """Create a database from all inputs; count the rows of each table it lists."""
+    """Name all inputs in a new database; count the rows of each table it lists.
+
+    The tables stay where they are: DDL gives the catalog their locations.
+    """
     database = scratch_database(spark, "catalog")
     for table in TABLES:
-        _create(spark, folder, table, database)
+        location = table_path(folder, table).replace("'", "\\'")
+        run_sql(
+            spark, f"CREATE TABLE {database}.{table} USING parquet LOCATION '{location}'"
+        )
     listed = list_tables(spark).where(F.col("database") == database)
     counted = None
     for entry in listed.select("table", "full_name").collect():

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# How many files one micro-batch reads unless the caller says otherwise: a replay
+# of a large table then goes on from its last batch after a failure.
+BATCH_FILES = "1000"
+
+
 def start_from_offset(offset_ms: int) -> int:
     """Epoch milliseconds of now plus the offset: 0 is new rows, below 0 a replay."""
     return int(time.time() * 1000) + int(offset_ms)
@@ -47,10 +52,10 @@ def read_changes(
     a table must only grow: replacing it sends all its rows again.  A table
     format with snapshots (``provider="iceberg"``) is asked by its own option.
     """
-    reader = spark.readStream.options(**(options or {}))
     if provider is not None:
-        reader = reader.format(provider).option("stream-from-timestamp", str(start_ms))
-        return reader.load(table_name)
+        reader = spark.readStream.format(provider).options(**(options or {}))
+        return reader.option("stream-from-timestamp", str(start_ms)).load(table_name)
+    reader = spark.readStream.options(**_bounded(options))
     return _from_start(reader.table(table_name), start_ms)
 
 
@@ -62,14 +67,20 @@ def read_file_changes(
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Rows of files added to a folder at or after ``start_ms``, as a stream.
-
-    ``maxFilesPerTrigger`` and ``maxBytesPerTrigger`` bound a micro-batch.
-    """
-    reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
+    """Rows of files added to a folder at or after ``start_ms``, as a stream."""
+    reader = spark.readStream.format(fmt).schema(schema).options(**_bounded(options))
     return _from_start(reader.load(folder), start_ms)
 
 
+def _bounded(options: Mapping[str, str] | None) -> dict[str, str]:
+    """The options, with a bound on the micro-batch when they hold none."""
+    options = dict(options or {})
+    bounds = {"maxfilespertrigger", "maxbytespertrigger"}
+    if not bounds & {name.lower() for name in options}:
+        options["maxFilesPerTrigger"] = BATCH_FILES
+    return options
+
+
 def _from_start(stream: DataFrame, start_ms: int) -> DataFrame:
     added = F.col("_metadata.file_modification_time")
     return stream.where(added >= F.timestamp_millis(F.lit(start_ms)))

@@ -1,0 +1,158 @@
+"""Document queries."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
+
+from facetable import document_query, run_sql
+
+ROWS = [
+    (1, 10, "ab", 1.5),
+    (2, None, "b%", -2.0),
+    (3, 30, None, 0.0),
+    (4, 10, "", None),
+    (5, 25, "abc", 9.25),
+]
+SCHEMA = "id int, amount int, name string, score double"
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).cache()
+
+
+def ids(frame):
+    return sorted(row.id for row in frame.collect())
+
+
+def test_the_demo_query(rows):
+    result = document_query(rows, ["id", "name", "amount"], {"amount": {"_gt": 20}}, limit=10)
+    assert result.columns == ["id", "name", "amount"]
+    assert ids(result) == [3, 5]
+
+
+@pytest.mark.parametrize(
+    ("where", "expected"),
+    [
+        (None, [1, 2, 3, 4, 5]),
+        ({}, [1, 2, 3, 4, 5]),
+        ({"amount": {}}, [1, 2, 3, 4, 5]),
+        ({"amount": {"_eq": 10}}, [1, 4]),
+        ({"amount": {"_neq": 10}}, [3, 5]),
+        ({"amount": {"_gte": 25}}, [3, 5]),
+        ({"amount": {"_lt": 25}}, [1, 4]),
+        ({"amount": {"_lte": 25}}, [1, 4, 5]),
+        ({"amount": {"_gt": 10, "_lt": 30}}, [5]),
+        ({"amount": {"_in": [10, 30]}}, [1, 3, 4]),
+        ({"amount": {"_in": []}}, []),
+        ({"amount": {"_nin": [10, 30]}}, [5]),
+        ({"amount": {"_nin": []}}, [1, 2, 3, 4, 5]),
+        ({"amount": {"_is_null": True}}, [2]),
+        ({"amount": {"_is_null": False}}, [1, 3, 4, 5]),
+        ({"name": {"_like": "ab%"}}, [1, 5]),
+        ({"amount": {"_eq": 10}, "name": {"_eq": "ab"}}, [1]),
+        ({"_and": [{"amount": {"_eq": 10}}, {"name": {"_eq": ""}}]}, [4]),
+        ({"_or": [{"amount": {"_eq": 25}}, {"name": {"_is_null": True}}]}, [3, 5]),
+        ({"_and": []}, [1, 2, 3, 4, 5]),
+        ({"_or": []}, []),
+        ({"_not": {"amount": {"_eq": 10}}}, [3, 5]),
+    ],
+)
+def test_where(rows, where, expected):
+    assert ids(document_query(rows, ["id"], where)) == expected
+
+
+def test_limit_without_order_bounds_the_count(rows):
+    assert document_query(rows, ["id"], limit=2).count() == 2
+    assert document_query(rows, ["id"], limit=0).count() == 0
+
+
+def test_order_offset_limit(rows):
+    result = document_query(
+        rows, ["id"], order_by={"amount": "desc_nulls_last", "id": "asc"}, offset=1, limit=3
+    )
+    assert [row.id for row in result.collect()] == [5, 1, 4]
+
+
+def test_order_by_a_field_that_is_not_selected(rows):
+    result = document_query(rows, ["name"], order_by={"id": "desc"}, limit=1)
+    assert [tuple(row) for row in result.collect()] == [("abc",)]
+
+
+@pytest.mark.parametrize(
+    "where",
+    [
+        {"amount": {"_near": 3}},
+        {"amount": {"_eq": None}},
+        {"amount": 3},
+        {"amount": {"_in": "abc"}},
+        {"_or": {"amount": {"_eq": 1}}},
+    ],
+)
+def test_bad_where(rows, where):
+    with pytest.raises(ValueError):
+        document_query(rows, ["id"], where)
+
+
+def test_bad_select_and_order(rows):
+    with pytest.raises(ValueError):
+        document_query(rows, [])
+    with pytest.raises(ValueError):
+        document_query(rows, "id")
+    with pytest.raises(ValueError):
+        document_query(rows, ["id"], order_by={"id": "up"})
+    with pytest.raises(AnalysisException):
+        document_query(rows, ["nothing"])
+
+
+def test_names_are_not_read_as_paths(spark):
+    frame = spark.createDataFrame([(1, 2)], "`a.b` int, `c``d` int")
+    result = document_query(frame, ["c`d", "a.b"], {"a.b": {"_eq": 1}})
+    assert result.columns == ["c`d", "a.b"]
+    assert [tuple(row) for row in result.collect()] == [(2, 1)]
+
+
+SYMBOLS = {"_gt": ">", "_gte": ">=", "_lt": "<", "_lte": "<=", "_eq": "=", "_neq": "<>"}
+NUMBERS = st.integers(-5, 35)
+LEAVES = st.one_of(
+    st.tuples(st.sampled_from(["id", "amount"]), st.sampled_from(sorted(SYMBOLS)), NUMBERS).map(
+        lambda t: ({t[0]: {t[1]: t[2]}}, f"({t[0]} {SYMBOLS[t[1]]} {t[2]})")
+    ),
+    st.booleans().map(
+        lambda null: (
+            {"name": {"_is_null": null}},
+            f"(name IS {'' if null else 'NOT '}NULL)",
+        )
+    ),
+    st.lists(NUMBERS, min_size=1, max_size=4).map(
+        lambda xs: (
+            {"amount": {"_in": xs}},
+            f"(amount IN ({', '.join(map(str, xs))}))",
+        )
+    ),
+)
+
+
+def grow(children):
+    pairs = st.lists(children, min_size=1, max_size=3)
+    return st.one_of(
+        pairs.map(
+            lambda ps: ({"_and": [p[0] for p in ps]}, f"({' AND '.join(p[1] for p in ps)})")
+        ),
+        pairs.map(
+            lambda ps: ({"_or": [p[0] for p in ps]}, f"({' OR '.join(p[1] for p in ps)})")
+        ),
+        children.map(lambda p: ({"_not": p[0]}, f"(NOT {p[1]})")),
+    )
+
+
+@settings(
+    max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.recursive(LEAVES, grow, max_leaves=6))
+def test_where_means_the_same_as_sql(spark, rows, pair):
+    where, text = pair
+    rows.createOrReplaceTempView("document_rows")
+    by_sql = run_sql(spark, f"SELECT id FROM document_rows WHERE {text}")
+    assert ids(document_query(rows, ["id"], where)) == ids(by_sql)

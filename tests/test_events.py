@@ -1,0 +1,117 @@
+"""Rows as messages and back, on batch frames."""
+
+import datetime
+import decimal
+
+import pytest
+from pyspark.errors import AnalysisException, SparkRuntimeException
+
+from facetable import from_events, to_events
+from tests.compare import spark_bag
+
+
+def texts(events):
+    return [row.text for row in from_events(events).collect()]
+
+
+def test_columns_are_joined_and_null_leaves_no_trace(spark):
+    rows = spark.createDataFrame([(1, 2, "x"), (3, 4, None)], "a int, b int, c string")
+    events = to_events(rows)
+    assert events.dtypes == [("data", "binary"), ("key", "binary")]
+    assert [bytes(row.data) for row in events.collect()] == [b"1,2,x", b"3,4"]
+    assert {bytes(row.key) for row in events.collect()} == {b"NOKEY"}
+
+
+def test_text_of_each_type(spark):
+    rows = spark.createDataFrame(
+        [
+            (
+                1.0,
+                12345678.9,
+                0.0001,
+                decimal.Decimal("1.50"),
+                datetime.date(2024, 1, 2),
+                datetime.datetime(2024, 1, 2, 3, 4, 5, 120000),
+                True,
+                b"AB",
+                ["p", "q"],
+                "a,b",
+            )
+        ],
+        "a double, b double, c double, d decimal(5,2), e date, f timestamp, g boolean, "
+        "h binary, i array<string>, j string",
+    )
+    assert texts(to_events(rows)) == [
+        "1.0,1.23456789E7,1.0E-4,1.50,2024-01-02,2024-01-02 03:04:05.12,true,AB,p,q,a,b"
+    ]
+
+
+def test_struct_and_map_are_rejected(spark):
+    for column in ("named_struct('x', 1)", "map('k', 1)"):
+        with pytest.raises(AnalysisException):
+            to_events(spark.sql(f"SELECT 1 AS id, {column} AS c"))
+
+
+def test_utf8(spark):
+    rows = spark.createDataFrame([("grüß 你好 🙂",)], "t string")
+    assert bytes(to_events(rows).first().data) == "grüß 你好 🙂".encode()
+    assert texts(to_events(rows)) == ["grüß 你好 🙂"]
+
+
+def test_key_column(spark):
+    rows = spark.createDataFrame([(1, "x"), (2, None)], "id long, `a.b` string")
+    assert [bytes(row.key) for row in to_events(rows, key="id").collect()] == [b"1", b"2"]
+    assert [row.key for row in to_events(rows, key="a.b").collect()] == [bytearray(b"x"), None]
+
+
+def test_duplicate_and_odd_column_names(spark):
+    rows = spark.sql("SELECT 1 AS x, 2 AS x, 3 AS `a.b c`")
+    assert texts(to_events(rows)) == ["1,2,3"]
+
+
+def test_parse_text(spark):
+    rows = spark.sql(
+        "SELECT 7L AS id, TIMESTAMP_NTZ '2024-01-02 03:04:05.000007' AS n, "
+        "TIMESTAMP '2024-01-02 03:04:05.12' AS t, 1.0E-4D AS d, '{\"k\": 1}' AS j, "
+        "DATE '2024-01-02' AS e, true AS b, CAST(1.50 AS DECIMAL(5,2)) AS m"
+    )
+    back = from_events(to_events(rows), rows.schema)
+    assert back.dtypes == rows.dtypes
+    assert spark_bag(back) == spark_bag(rows)
+
+
+def test_parse_text_raises_on_a_message_that_does_not_fit(spark):
+    rows = spark.createDataFrame([("a,b", 1)], "t string, n int")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        from_events(to_events(rows), rows.schema).collect()
+
+
+def test_json_form_keeps_what_text_loses(spark):
+    rows = spark.sql(
+        "SELECT * FROM VALUES (1, 'a,b', CAST(NULL AS STRING), array(1, NULL), "
+        "named_struct('x', 1, 'y', 'q\"'), TIMESTAMP_NTZ '2024-01-02 03:04:05.123456'), "
+        "(2, '', 'line\nbreak', array(), NULL, NULL) AS t(id, a, b, c, d, e)"
+    )
+    back = from_events(to_events(rows, form="json"), rows.schema, form="json")
+    assert back.dtypes == rows.dtypes
+    assert spark_bag(back) == spark_bag(rows)
+
+
+def test_unknown_form(spark):
+    with pytest.raises(ValueError):
+        to_events(spark.range(1), form="xml")
+    with pytest.raises(KeyError):
+        from_events(to_events(spark.range(1)), spark.range(1).schema, form="xml")
+
+
+def test_bytes_that_are_no_text_raise(spark):
+    events = spark.sql("SELECT X'FF' AS data, X'00' AS key")
+    with pytest.raises(SparkRuntimeException):
+        from_events(events).collect()
+
+
+def test_whole_tables_survive(spark, data):
+    for table, form in (("orders", "text"), ("lineitem", "text"), ("pages", "json")):
+        rows = spark.read.parquet(f"{data}/{table}.parquet")
+        back = from_events(to_events(rows, form), rows.schema, form)
+        assert spark_bag(back) == spark_bag(rows)
