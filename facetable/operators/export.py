@@ -16,7 +16,8 @@ from facetable.functions.names import flat_name, quote, staged_name
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "xml")
 
 # Options that bring every value back when used for both writing and reading:
-# quotes are doubled, outer blanks and microseconds are kept, NULL is told from ''.
+# quotes are doubled, outer blanks and microseconds are kept, NULL is told from '',
+# and the end of a line is not guessed, which would turn \r inside a text into \n.
 # NULL is written as \N, the one text that reads back as something else.
 LOSSLESS_CSV = {
     **MICROSECONDS,
@@ -24,6 +25,7 @@ LOSSLESS_CSV = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "nullValue": "\\N",
+    "lineSep": "\n",
     "multiLine": "true",
 }
 

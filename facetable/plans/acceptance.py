@@ -179,7 +179,8 @@ ACCEPTANCE["sql_grouping_sets"] = (
 
 # The place of every order among its customer's, dearest first.  Orders of a hot
 # customer are ranked within bands of 100 and moved down by the orders in the
-# bands above; only counts per band are gathered per customer.
+# bands above; only counts per band are gathered per customer.  Orders without a
+# price come last, in the lowest band.
 ACCEPTANCE["sql_window_rank"] = (
     ("orders",),
     """
@@ -188,7 +189,10 @@ ACCEPTANCE["sql_window_rank"] = (
       HAVING count(*) > (SELECT count(*) FROM orders) / 10000
     ), banded AS (
       SELECT /*+ BROADCAST(hot) */ o_custkey, o_orderkey, o_totalprice, is_hot,
-             CASE WHEN is_hot THEN floor(o_totalprice / 100) ELSE 0 END AS band
+             CASE WHEN is_hot
+                  THEN coalesce(floor(o_totalprice / 100), -9223372036854775808L)
+                  ELSE 0
+             END AS band
       FROM orders LEFT JOIN hot ON o_custkey = hot_key
     ), above AS (
       SELECT o_custkey AS above_key, band AS above_band,

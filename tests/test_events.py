@@ -97,6 +97,19 @@ def test_json_form_keeps_what_text_loses(spark):
     assert spark_bag(back) == spark_bag(rows)
 
 
+def test_json_form_of_each_type(spark):
+    rows = spark.sql(
+        "SELECT CAST('NaN' AS DOUBLE) AS a, CAST('-Infinity' AS FLOAT) AS b, X'00FF' AS c, "
+        "CAST(-1.10 AS DECIMAL(38, 18)) AS d, DATE '0001-01-01' AS e, "
+        "TIMESTAMP '1969-12-31 23:59:59.999999' AS f, map('k', 1, 'm', NULL) AS g, "
+        "array(named_struct('x', CAST(NULL AS STRING))) AS h, '\\r\\n\\t\"\\\\' AS i, "
+        "9223372036854775807L AS j, 0.1F AS k, 1e-300D AS l"
+    )
+    back = from_events(to_events(rows, form="json"), rows.schema, form="json")
+    assert spark_bag(back.drop("g")) == spark_bag(rows.drop("g"))
+    assert back.first().g == rows.first().g
+
+
 def test_unknown_form(spark):
     with pytest.raises(ValueError):
         to_events(spark.range(1), form="xml")

@@ -89,6 +89,14 @@ def test_lossless_csv_brings_any_text_back(spark, tmp_path_factory, pairs):
     assert spark_bag(back) == spark_bag(rows)
 
 
+def test_lossless_csv_keeps_line_ends_and_blanks(spark, tmp_path):
+    texts = ["\r", "a\r\nb", "\n", " x ", "", None, "\\", '\\"', '"', ",", "\t"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    path = export_csv(rows, str(tmp_path), "t", LOSSLESS_CSV)
+    back = read_staged(spark, path, "csv", LOSSLESS_CSV, schema=rows.schema)
+    assert [row.t for row in back.orderBy("i").collect()] == texts
+
+
 def test_lossless_csv_keeps_times_and_numbers(spark, tmp_path):
     rows = spark.sql(
         "SELECT TIMESTAMP '2024-01-02 03:04:05.123456' AS t, "
