@@ -8,7 +8,7 @@ own a third of the rows, so
   aggregate, because adaptive execution cannot split a hot key there;
 * inner and left joins keep the large table on the side adaptive execution can
   split;
-* windows cut the groups of hot keys into slices and stitch the edges.
+* windows cut the groups of hot keys into slices and carry over what is before.
 
 A hot key is one with more than 1/10000 of the rows.  There are fewer than 10000
 of them however large the table is, which bounds the lists that are broadcast.
@@ -232,9 +232,9 @@ ACCEPTANCE["sql_window_top"] = (
 )
 
 # Per user, in order of time: the value before, and the sum of a value and the
-# two before it.  Events of a hot user are cut by minute.  The first two events
-# of a minute look back into earlier minutes; the first two and last two of each
-# minute hold all they can see, so these few are windowed once more per user.
+# two before it.  Events of a hot user are cut by minute, and each minute is lent
+# the two events before it.  Those are among the last two of the minutes before,
+# so only two events per minute are gathered per user to find them.
 ACCEPTANCE["sql_window_frame"] = (
     ("events",),
     """
@@ -242,33 +242,44 @@ ACCEPTANCE["sql_window_frame"] = (
       SELECT user_id AS hot_key, TRUE AS is_hot FROM events GROUP BY user_id
       HAVING count(*) > (SELECT count(*) FROM events) / 10000
     ), sliced AS (
-      SELECT /*+ BROADCAST(hot) */ event_id, user_id, ts, value,
-             CASE WHEN is_hot
+      SELECT /*+ BROADCAST(hot) */ event_id, user_id, ts, value, is_hot,
+             CASE WHEN is_hot AND ts IS NOT NULL
                   THEN unix_date(CAST(ts AS DATE)) * 1440 + hour(ts) * 60 + minute(ts)
-                  ELSE 0
+                  ELSE -2147483648
              END AS slice
       FROM events LEFT JOIN hot ON user_id = hot_key
+    ), tails AS (
+      SELECT user_id, slice, event_id, ts, value
+      FROM (
+        SELECT user_id, slice, event_id, ts, value,
+               row_number() OVER (
+                 PARTITION BY user_id, slice ORDER BY ts DESC, event_id DESC) AS from_end
+        FROM sliced WHERE is_hot
+      ) AS placed
+      WHERE from_end <= 2
+    ), looks AS (
+      SELECT user_id, slice, lag(slice) OVER by_time AS slice_before,
+             lag(struct(event_id, ts, value), 1) OVER by_time AS one_before,
+             lag(struct(event_id, ts, value), 2) OVER by_time AS two_before
+      FROM tails
+      WINDOW by_time AS (PARTITION BY user_id ORDER BY slice, ts, event_id)
+    ), lent AS (
+      SELECT user_id, slice,
+             inline(filter(array(one_before, two_before), event -> event IS NOT NULL))
+      FROM looks WHERE slice_before <> slice
     ), framed AS (
-      SELECT event_id, user_id, ts, value,
-             row_number() OVER (PARTITION BY user_id, slice ORDER BY ts, event_id) AS nth,
-             lead(TRUE, 2) OVER (PARTITION BY user_id, slice ORDER BY ts, event_id)
-               IS NULL AS is_last,
+      SELECT event_id, user_id, is_lent,
              sum(value) OVER (
                PARTITION BY user_id, slice ORDER BY ts, event_id
                ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS sum3,
              lag(value) OVER (PARTITION BY user_id, slice ORDER BY ts, event_id) AS previous
-      FROM sliced
-    ), stitched AS (
-      SELECT event_id, user_id, nth,
-             sum(value) OVER (
-               PARTITION BY user_id ORDER BY ts, event_id
-               ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS sum3,
-             lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous
-      FROM framed WHERE nth <= 2 OR is_last
+      FROM (
+        SELECT event_id, user_id, ts, value, slice, FALSE AS is_lent FROM sliced
+        UNION ALL
+        SELECT event_id, user_id, ts, value, slice, TRUE FROM lent
+      ) AS extended
     )
-    SELECT event_id, user_id, round(sum3, 4) AS sum3, previous FROM framed WHERE nth > 2
-    UNION ALL
-    SELECT event_id, user_id, round(sum3, 4), previous FROM stitched WHERE nth <= 2
+    SELECT event_id, user_id, round(sum3, 4) AS sum3, previous FROM framed WHERE NOT is_lent
     """,
 )
 
