@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetable.functions.names import quote
 from facetable.sources.files import read_parquet
 
 LISTING = "database string, `table` string, full_name string"
@@ -52,7 +53,8 @@ def list_tables(spark: SparkSession) -> DataFrame:
     """
     rows = []
     for (database,) in spark.sql("SHOW DATABASES").collect():
-        listed = spark.sql(f"SHOW TABLES IN {_quote_parts(database)}")
+        # Spark has quoted the name already where it needs it.
+        listed = spark.sql(f"SHOW TABLES IN {database}")
         for entry in listed.where(~F.col("isTemporary")).collect():
             rows.append((database, entry.tableName, f"{database}.{entry.tableName}"))
     return spark.createDataFrame(rows, LISTING)
@@ -73,10 +75,6 @@ def find_table(spark: SparkSession, table_name: str) -> str:
     return full_name
 
 
-def _quote_parts(name: str) -> str:
-    return ".".join(quote(part) for part in name.split("."))
-
-
 def _has_plugin(spark: SparkSession, table_name: str) -> bool:
     first = table_name.split(".")[0]
     named = spark.conf.get(f"spark.sql.catalog.{first}", None)
@@ -96,14 +94,14 @@ def _refuse_own_location(spark: SparkSession, path: str, table_name: str) -> Non
     for (location,) in (
         details.where("col_name = 'Location'").select("data_type").collect()
     ):
-        kept, read = (_bare_path(text) for text in (location, path))
-        if kept.startswith(read) or read.startswith(kept):
+        if _overlap(location, path):
             raise ValueError(f"{table_name} is kept in {location} and cannot be made from it")
 
 
-def _bare_path(text: str) -> str:
-    """Path text without scheme and with one closing slash."""
-    scheme, found, rest = text.partition(":")
-    if found and "/" not in scheme:
-        text = rest
-    return "/" + text.strip("/") + "/"
+def _overlap(location: str, path: str) -> bool:
+    """Whether one path is the other or lies within it; a missing host fits any."""
+    kept, read = urlparse(location), urlparse(path)
+    if kept.netloc and read.netloc and kept.netloc != read.netloc:
+        return False
+    inner, outer = (url.path.rstrip("/") + "/" for url in (kept, read))
+    return inner.startswith(outer) or outer.startswith(inner)

@@ -15,6 +15,7 @@ from facetable import (
     scan_table,
 )
 from facetable.session import scratch_database, scratch_path
+from facetable.sources.catalog import _overlap
 from tests.compare import spark_bag
 
 
@@ -64,6 +65,22 @@ def test_a_table_is_not_made_from_its_own_files(spark, data, database):
     assert scan_table(spark, name).count() == 5
 
 
+@pytest.mark.parametrize(
+    ("location", "path", "same"),
+    [
+        ("file:/wh/t", "/wh/t", True),
+        ("file:/wh/t", "/wh/", True),
+        ("file:/wh/t", "/wh/t/part-0.parquet", True),
+        ("file:/wh/t", "/wh/t2", False),
+        ("hdfs://nn:8020/wh/t", "/wh/t", True),
+        ("s3a://one/wh/t", "s3a://two/wh/t", False),
+        ("s3a://one/wh/t", "s3a://one/wh/t/", True),
+    ],
+)
+def test_own_location(location, path, same):
+    assert _overlap(location, path) is same
+
+
 def test_a_plugin_catalog_replaces_in_one_step(spark):
     spark.conf.set("spark.sql.catalog.lake", "some.plugin")
     frame = MagicMock()
