@@ -343,7 +343,7 @@ ACCEPTANCE["sql_date_funcs"] = (
     SELECT o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS year,
            CAST(month(o_orderdate) AS BIGINT) AS month,
            CAST(datediff(CAST(o_orderdate AS DATE), DATE '1992-01-01') AS BIGINT) AS days,
-           last_day(CAST(o_orderdate AS DATE)) AS month_end
+           CAST(day(last_day(CAST(o_orderdate AS DATE))) AS BIGINT) AS month_days
     FROM orders
     """,
 )

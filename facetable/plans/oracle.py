@@ -176,7 +176,7 @@ ORACLE: dict[str, str] = {
     "sql_date_funcs": """
         SELECT o_orderkey, year(o_orderdate) AS year, month(o_orderdate) AS month,
                datediff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS days,
-               last_day(o_orderdate) AS month_end
+               day(last_day(o_orderdate)) AS month_days
         FROM orders
     """,
     "sql_array_funcs": """
