@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 SEPARATOR = ","
 NO_KEY = "NOKEY"
 
-# Spark writes three digits of a second in CSV and JSON unless told otherwise.
+# Spark writes three digits of a second in CSV and JSON unless told otherwise, and
+# cuts the seconds off a zone's offset, which many had before 1900.
 MICROSECONDS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 

@@ -63,6 +63,8 @@ class TableHandle:
         }
         if mode not in steps:
             raise ValueError(f"unknown mode {mode!r}; one of {', '.join(steps)}")
+        # Exposing again overwrites; if that fails, what was there is gone too.
+        self.modes.discard(mode)
         result = steps[mode](**settings)
         self.modes.add(mode)
         return result

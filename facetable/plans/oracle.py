@@ -69,7 +69,7 @@ ORACLE: dict[str, str] = {
     "staged_export": "SELECT * FROM lineitem",
     "staged_export_orc": "SELECT * FROM orders",
     "table_create_scan": "SELECT * FROM orders",
-    "table_describe": """
+    "describe": """
         SELECT column_name AS col_name,
                CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
                                 WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'

@@ -367,7 +367,7 @@ QUERIES: dict[str, Query] = {
     "staged_export": staged_export,
     "staged_export_orc": staged_export_orc,
     "table_create_scan": table_create_scan,
-    "table_describe": table_describe,
+    "describe": table_describe,
     "catalog_list": catalog_list,
     "expose_sql": expose_sql,
     "expose_csv": expose_csv,

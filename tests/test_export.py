@@ -10,7 +10,14 @@ from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import Row
 
-from facetable import LOSSLESS_CSV, export_csv, export_table, read_staged
+from facetable import (
+    LOSSLESS_CSV,
+    export_csv,
+    export_table,
+    from_events,
+    read_staged,
+    to_events,
+)
 from facetable.functions.names import document_field, flat_name, quote, staged_name
 from tests.compare import spark_bag
 
@@ -108,6 +115,25 @@ def test_lossless_csv_keeps_times_and_numbers(spark, tmp_path):
     assert spark_bag(back) == spark_bag(rows)
 
 
+def test_times_come_back_in_any_zone(spark, tmp_path):
+    """Old offsets with seconds, and the hour that a clock change repeats."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        rows = spark.sql(
+            "SELECT * FROM VALUES (TIMESTAMP '1800-06-01 12:00:00.123456 UTC'), "
+            "(TIMESTAMP '2024-10-27 00:30:00 UTC'), (TIMESTAMP '2024-10-27 01:30:00 UTC'), "
+            "(TIMESTAMP '9999-12-31 23:00:00 UTC') AS t(t)"
+        )
+        path = export_csv(rows, str(tmp_path), "t", LOSSLESS_CSV)
+        by_csv = read_staged(spark, path, "csv", LOSSLESS_CSV, schema=rows.schema)
+        by_json = from_events(to_events(rows, "json"), rows.schema, "json")
+        for back in (by_csv, by_json):
+            assert back.exceptAll(rows).count() == 0 and back.count() == 4
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_names():
     assert flat_name("default.people") == "default_people"
     assert staged_name("ds", "default.people") == "ds.default_people"

@@ -107,3 +107,12 @@ def test_a_mode_counts_once_its_work_is_done(handle, tmp_path):
     with pytest.raises(ModeNotEnabled):
         handle.query_documents(["c_name"])
     assert handle.modes == set()
+
+
+def test_a_failed_repeat_closes_the_mode(handle, tmp_path):
+    handle.expose("GQL", dataset=str(tmp_path))
+    assert handle.query_documents(["c_name"]).count() == 150
+    with pytest.raises(Exception):
+        handle.expose("GQL", dataset=str(tmp_path), fmt="no-such-format")
+    with pytest.raises(ModeNotEnabled):
+        handle.query_documents(["c_name"])
