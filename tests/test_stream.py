@@ -87,6 +87,29 @@ def test_batches_are_bounded(spark, table, tmp_path):
     assert send(spark, few, str(tmp_path / "c2"), str(tmp_path / "s2")) == [250] * 4
 
 
+def test_latest_first_sends_all_rows_too(spark, table, tmp_path):
+    options = {"latestFirst": "true", "maxFilesPerTrigger": "1"}
+    sink = str(tmp_path / "s")
+    send(spark, read_changes(spark, table, 0, options=options), str(tmp_path / "c"), sink)
+    assert sent(spark, sink) == 1000
+
+
+def test_a_run_that_is_cut_off_loses_and_repeats_nothing(spark, table, tmp_path):
+    checkpoint, sink = str(tmp_path / "c"), str(tmp_path / "s")
+    one = read_changes(spark, table, 0, options={"maxFilesPerTrigger": "1"})
+    for _ in range(2):
+        query = write_events(
+            to_events(one), checkpoint, options={"path": sink}, trigger={"processingTime": "0 seconds"}
+        )
+        while not query.recentProgress:
+            time.sleep(0.05)
+        query.stop()
+    send(spark, one, checkpoint, sink)
+    back = from_events(spark.read.schema("data binary, key binary").parquet(sink))
+    source = from_events(to_events(spark.table(table)))
+    assert sorted(back.collect()) == sorted(source.collect())
+
+
 def test_files_of_a_folder(spark, data, tmp_path):
     rows = spark.read.parquet(f"{data}/orders.parquet")
     rows.repartition(3).write.parquet(str(tmp_path / "in"))
