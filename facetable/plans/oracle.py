@@ -113,12 +113,10 @@ ORACLE: dict[str, str] = {
     "sql_join_inner": ACCEPTANCE["sql_join_inner"][1],
     "sql_join_left": ACCEPTANCE["sql_join_left"][1],
     "sql_join_full": ACCEPTANCE["sql_join_full"][1],
-    "sql_group_agg": ACCEPTANCE["sql_group_agg"][1],
     "sql_distinct_agg": ACCEPTANCE["sql_distinct_agg"][1],
     "sql_window_top": ACCEPTANCE["sql_window_top"][1],
     "sql_topk": ACCEPTANCE["sql_topk"][1],
     "sql_set_ops": ACCEPTANCE["sql_set_ops"][1],
-    "sql_cte_subquery": ACCEPTANCE["sql_cte_subquery"][1],
     "sql_exists": ACCEPTANCE["sql_exists"][1],
     "sql_join_left_hot_right": """
         SELECT c_custkey, o_orderkey, o_totalprice
@@ -152,6 +150,21 @@ ORACLE: dict[str, str] = {
         SELECT o_orderstatus, o_orderpriority, count(*) AS orders FROM orders
         GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())
     """,
+    "sql_group_agg": """
+        SELECT o_orderstatus, count(*) AS orders,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total,
+               round(CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*), 2)
+                 AS mean
+        FROM orders GROUP BY o_orderstatus
+    """,
+    "sql_cte_subquery": """
+        WITH totals AS (
+          SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS total
+          FROM orders GROUP BY o_custkey
+        )
+        SELECT o_custkey, CAST(total AS DOUBLE) AS total FROM totals
+        WHERE total * (SELECT count(*) FROM totals) > (SELECT sum(total) FROM totals)
+    """,
     "sql_window_rank": """
         SELECT o_custkey, o_orderkey, o_totalprice,
                row_number() OVER (
