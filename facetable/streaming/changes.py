@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 # How many files one micro-batch reads unless the caller says otherwise: a replay
 # of a large table then goes on from its last batch after a failure.  One listing
 # of the folder serves a hundred such batches.
@@ -50,11 +49,13 @@ def read_changes(
     """Rows added to a table at or after ``start_ms``, as a stream.
 
     Without a provider the table is one of Spark's own, made of files, and the
-    time is that of the file; files before the start are skipped, not read.  With
-    a long history and a late start, ``{"latestFirst": "true"}`` brings the new
-    rows before the history has been skipped.  Such a table must only grow:
-    replacing it sends all its rows again.  A table format with snapshots
-    (``provider="iceberg"``) is asked by its own option.
+    time is that of the file; files before the start are skipped, not read.  A
+    file is older than the commit that shows it, so set the start back by as long
+    as the longest load takes.  With a long history and a late start,
+    ``{"latestFirst": "true"}`` brings the new rows before the history has been
+    skipped.  Such a table must only grow: replacing it sends all its rows again.
+    A table format with snapshots (``provider="iceberg"``) goes by the time of
+    the commit and is asked by its own option.
     """
     if provider is not None:
         reader = spark.readStream.format(provider).options(**(options or {}))

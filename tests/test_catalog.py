@@ -113,8 +113,9 @@ def test_listing_is_fresh_and_without_session_views(spark, data, database):
 def test_get_table(spark, data, database):
     create_table_from_parquet(spark, f"{data}/region.parquet", f"{database}.region")
     assert get_table(spark, f"{database}.region").count() == 5
-    with pytest.raises(TableNotFound):
-        get_table(spark, f"{database}.nothing")
+    for name in (f"{database}.nothing", "no_such_database.region", "nothing"):
+        with pytest.raises(TableNotFound):
+            get_table(spark, name)
 
 
 def test_get_table_does_not_see_session_views(spark, data):
