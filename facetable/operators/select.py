@@ -26,9 +26,8 @@ def describe_frame(frame: DataFrame) -> DataFrame:
         (field.name, field.dataType.simpleString(), field.metadata.get("comment"))
         for field in frame.schema
     ]
-    return frame.sparkSession.createDataFrame(
-        rows, "col_name string, data_type string, comment string"
-    )
+    schema = "col_name string, data_type string, comment string"
+    return frame.sparkSession.createDataFrame(rows, schema).coalesce(1)
 
 
 def project_filter(

@@ -29,7 +29,8 @@ def fixed_start(spark: SparkSession, checkpoint: str, offset_ms: int) -> int:
     beside the checkpoint; the next ones read it.
     """
     path = f"{checkpoint.rstrip('/')}.start"
-    start = spark.range(1).select(F.lit(start_from_offset(offset_ms)).alias("start_ms"))
+    one_row = spark.range(0, 1, 1, numPartitions=1)
+    start = one_row.select(F.lit(start_from_offset(offset_ms)).alias("start_ms"))
     start.write.mode("ignore").parquet(path)
     kept = _kept_start(spark, path)
     if kept is None:
