@@ -71,10 +71,10 @@ ORACLE: dict[str, str] = {
     "table_create_scan": "SELECT * FROM orders",
     "describe": """
         SELECT column_name AS col_name,
-               CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+               CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
                                 WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
                                 ELSE column_type END AS data_type
-        FROM (DESCRIBE events)
+        FROM (DESCRIBE customer)
     """,
     "catalog_list": """
         SELECT 'region' AS table_name, count(*) AS n_rows FROM region

@@ -35,7 +35,13 @@ from facetable.sources import (
     read_parquet,
     scan_table,
 )
-from facetable.streaming import from_events, read_changes, to_events, write_events
+from facetable.streaming import (
+    from_events,
+    read_changes,
+    read_file_changes,
+    to_events,
+    write_events,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +63,7 @@ TABLES = (
 )
 
 ALL_AT_ONCE = {"availableNow": True}
+MESSAGE = "data binary, key binary"
 
 
 def table_path(folder: str, table: str) -> str:
@@ -170,10 +177,9 @@ def event_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return from_events(to_events(rows, form="json"), rows.schema, form="json")
 
 
-def _stream(spark: SparkSession, table_name: str, form: str) -> DataFrame:
-    """Send a whole table through a stream to files, and read the messages."""
+def _send(spark: SparkSession, rows: DataFrame, form: str) -> DataFrame:
+    """Send all rows of a stream to files, and read the messages."""
     sink = scratch_path(spark, "messages")
-    rows = read_changes(spark, table_name, start_ms=0)
     query = write_events(
         to_events(rows, form),
         checkpoint=scratch_path(spark, "checkpoint"),
@@ -181,18 +187,22 @@ def _stream(spark: SparkSession, table_name: str, form: str) -> DataFrame:
         trigger=ALL_AT_ONCE,
     )
     query.awaitTermination()
-    return spark.read.schema("data binary, key binary").parquet(sink)
+    return spark.read.schema(MESSAGE).parquet(sink)
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
-    table = _create(spark, folder, "events", scratch_database(spark, "stream"))
-    return from_events(_stream(spark, table, "text"))
+    path = table_path(folder, "events")
+    # As a pattern, because Spark streams a single file only by one.
+    pattern = f"{path[:-1]}[{path[-1]}]"
+    schema = read_parquet(spark, path).schema
+    return from_events(_send(spark, read_file_changes(spark, pattern, schema, 0), "text"))
 
 
 def stream_events_parsed(spark: SparkSession, folder: str) -> DataFrame:
     table = _create(spark, folder, "conversations", scratch_database(spark, "stream"))
     schema = scan_table(spark, table).schema
-    return from_events(_stream(spark, table, "json"), schema, form="json")
+    messages = _send(spark, read_changes(spark, table, start_ms=0), "json")
+    return from_events(messages, schema, form="json")
 
 
 # Exports
@@ -251,7 +261,7 @@ def table_create_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def table_describe(spark: SparkSession, folder: str) -> DataFrame:
-    name = _create(spark, folder, "events", scratch_database(spark, "describe"))
+    name = _create(spark, folder, "customer", scratch_database(spark, "describe"))
     return describe(spark, name).select("col_name", "data_type")
 
 
@@ -316,7 +326,7 @@ def expose_event(spark: SparkSession, folder: str) -> DataFrame:
         trigger=ALL_AT_ONCE,
     )
     query.awaitTermination()
-    return from_events(spark.read.schema("data binary, key binary").parquet(sink))
+    return from_events(spark.read.schema(MESSAGE).parquet(sink))
 
 
 # SQL text

@@ -73,7 +73,10 @@ def read_file_changes(
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Rows of files added to a folder at or after ``start_ms``, as a stream."""
+    """Rows of files added to a folder at or after ``start_ms``, as a stream.
+
+    The folder may be a path pattern.
+    """
     reader = spark.readStream.format(fmt).schema(schema).options(**_bounded(options))
     return _from_start(reader.load(folder), start_ms)
 
