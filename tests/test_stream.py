@@ -119,6 +119,16 @@ def test_files_of_a_folder(spark, data, tmp_path):
     assert sent(spark, str(tmp_path / "s")) == rows.count()
 
 
+def test_a_pattern_takes_one_file_like_a_folder(spark, data, tmp_path):
+    rows = spark.read.parquet(f"{data}/orders.parquet")
+    rows.repartition(3).write.parquet(str(tmp_path / "in" / "orders.parquet"))
+    for number, base in enumerate((data, str(tmp_path / "in"))):
+        stream = read_file_changes(spark, f"{base}/orders.parque[t]", rows.schema, 0)
+        sink = str(tmp_path / f"s{number}")
+        send(spark, stream, str(tmp_path / f"c{number}"), sink)
+        assert sent(spark, sink) == rows.count()
+
+
 def test_the_first_start_is_kept_for_later_runs(spark, tmp_path):
     checkpoint = str(tmp_path / "c")
     before = start_from_offset(-5000)
