@@ -9,8 +9,8 @@ docs AS (
 ),
 split AS (
     SELECT r, doc_id, text,
-        list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), w -> w <> '') AS words,
-        list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+        list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+        list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
     FROM docs
 ),
 placed AS (
@@ -33,7 +33,7 @@ measured AS (
         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
         CAST(length(text) - length(replace(text, '!', '')) AS BIGINT) AS n_exclaim,
-        CAST(len(list_filter(lines, l -> suffix(l, '...') OR suffix(l, '…'))) AS BIGINT) AS n_cut_lines
+        CAST(len(list_filter(lines, lambda l: suffix(l, '...') OR suffix(l, '…'))) AS BIGINT) AS n_cut_lines
     FROM split LEFT JOIN repeated USING (r)
 ),
 judged AS (
