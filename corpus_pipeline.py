@@ -18,6 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from facetable.llm import quality_rules
+from facetable.llm.tables import ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -36,6 +37,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the rows of the last one."""
+    ship(spark)
     shared = spark.conf.get("spark.checkpoint.dir").rstrip("/")
     folder = f"{shared}/facetable/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

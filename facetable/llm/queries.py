@@ -9,8 +9,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetable.llm import bpe, quality_rules, sharding
-from facetable.llm.tables import load
+from facetable.llm import bpe, html_text, langid, quality_model, quality_rules, sharding
+from facetable.llm.tables import held_out, load
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    forest = quality_model.fit(docs, load(spark, sf_dir, "labels"), folds=5, fold=0)
+    return quality_model.score(docs, forest).select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted"
+    )
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = held_out(F.col("doc_id"), 3, 1)
+    network = langid.fit(docs, F.col("doc_id").isNotNull() & ~out)
+    return langid.identify(docs.select("doc_id", "text"), network).select(
+        "doc_id", out.alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(load(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +69,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_language_id": op3_language_id,
+    "op4_html_text": op4_html_text,
     "op5_quality_rules": op5_quality_rules,
     "op7_sharding": op7_sharding,
     "op10_bpe": op10_bpe,

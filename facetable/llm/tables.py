@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import functools
+import pathlib
+import tempfile
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,19 +14,37 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package's code to the Python workers, once per application.
+
+    A session that was started elsewhere may have workers that cannot import it.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        package = pathlib.Path(__file__).resolve().parents[1]
+        archive = pathlib.Path(tempfile.mkdtemp(prefix="facetable-code-")) / "facetable_code.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, str(file.relative_to(package.parent)))
+        context.addPyFile(str(archive))  # Spark serves it to the executors
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One input table by its folder."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def held_out(doc_id: Column, folds: int, fold: int, is_held: bool) -> Column:
+def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether a document is kept from training: by crc32 of its id as text.
 
-    ``is_held`` says whether ``fold`` is the one held out or the one learned from.
-    A NULL id is in no fold, so it is not learned from.
+    A NULL id is in no fold.
     """
-    remainder = F.crc32(doc_id.cast("string")) % folds
-    return F.coalesce(remainder == fold if is_held else remainder != fold, F.lit(True))
+    return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
 
 
 def words_of(text: Column) -> Column:
