@@ -45,7 +45,40 @@ judged AS (
     FROM measured
 )"""
 
+#: Near duplicates of a table ``docs`` (doc_id, text), by all shared shingles.
+NEAR = r"""
+toks AS (
+    SELECT doc_id,
+        list_filter(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+            lambda w: w <> '') AS words
+    FROM near_input
+),
+grams AS (
+    SELECT DISTINCT doc_id, list_slice(words, p, p + 4) AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS p
+          FROM toks WHERE len(words) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+),
+reached AS (
+    SELECT doc_id AS id, doc_id AS via FROM near_input
+    UNION SELECT id, l.b FROM reached JOIN links l ON l.a = via
+),
+near AS (SELECT id AS doc_id, min(via) AS component_id FROM reached GROUP BY id)"""
+
 ORACLE = {
+    "op8_minhash": f"""
+WITH RECURSIVE near_input AS (SELECT doc_id, text FROM documents), {NEAR}
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
+    doc_id = component_id AS kept
+FROM near LEFT JOIN sizes USING (doc_id)
+""",
     "op5_quality_rules": f"""
 WITH {MEASURED}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetable.llm import bpe, html_text, langid, quality_model, quality_rules, sharding
+from facetable.llm import bpe, html_text, langid, minhash, quality_model, quality_rules, sharding
 from facetable.llm.tables import held_out, load
 
 
@@ -57,6 +57,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.decode_documents(bpe.encode_documents(docs).drop("text"))
@@ -74,5 +78,6 @@ QUERIES = {
     "op4_html_text": op4_html_text,
     "op5_quality_rules": op5_quality_rules,
     "op7_sharding": op7_sharding,
+    "op8_minhash": op8_minhash,
     "op10_bpe": op10_bpe,
 }
