@@ -6,10 +6,10 @@ compared from them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetable.llm import bpe, html_text, langid, minhash, quality_model, quality_rules, sharding
+from facetable.llm import bpe, html_text, langid, minhash, pii, quality_model, quality_rules, sharding
 from facetable.llm.tables import held_out, load
 
 
@@ -61,6 +61,20 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+
+    def count(kind: str) -> Column:
+        of_kind = F.filter("base_spans", lambda s: s["kind"] == kind)
+        return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(pii.digest("base_spans"), 256).alias("base_sha256"),
+        pii.digest("spans").alias("spans"),
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.decode_documents(bpe.encode_documents(docs).drop("text"))
@@ -79,5 +93,6 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op7_sharding": op7_sharding,
     "op8_minhash": op8_minhash,
+    "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
 }
