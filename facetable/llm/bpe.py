@@ -41,6 +41,8 @@ TOKENIZER = "word_bpe_49k.json"
 KEPT_WORDS = 400_000
 #: Characters of text whose new words are learned together.
 CHUNK = 1_000_000
+#: Rows whose tokens are Python objects at one time.
+SLICE = 500
 END = "</w>"
 PREFIX = 4
 
@@ -293,10 +295,10 @@ def _mapped(df: DataFrame, name: str, kind: T.DataType, make) -> DataFrame:
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.select(kept)
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns, make(batch)], names=[*kept, name]
-            )
+            for at in range(0, batch.num_rows, SLICE):  # Python objects of a few texts at a time
+                part = batch.slice(at, SLICE)
+                rows = part.select(kept)
+                yield pa.RecordBatch.from_arrays([*rows.columns, make(part)], names=[*kept, name])
 
     return df.mapInArrow(over, schema)
 
