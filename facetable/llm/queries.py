@@ -9,10 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetable.llm import bpe, html_text, langid, minhash, pii, quality_model, quality_rules, sharding
+from facetable.llm import bpe, decontaminate, html_text, langid, minhash, pii, quality_model, quality_rules, sharding
 from facetable.llm.tables import held_out, load
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, load(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.col("leaks.item_id").alias("item_ids"),
+        F.coalesce(F.array_max("leaks.similarity"), F.lit(0.0)).alias("best_similarity"),
+    )
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     forest = quality_model.fit(docs, load(spark, sf_dir, "labels"), folds=5, fold=0)
@@ -87,6 +98,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_language_id": op3_language_id,
     "op4_html_text": op4_html_text,
