@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetable.llm import bpe, decontaminate, html_text, langid, minhash, pii, quality_model, quality_rules, sharding
+from facetable.llm import bpe, decontaminate, html_text, langid, minhash, pii, quality_model, quality_rules, sharding, suffix_dedup
 from facetable.llm.tables import held_out, load
 
 
@@ -55,6 +55,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeats(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = load(spark, sf_dir, "documents").select(
@@ -103,6 +110,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_html_text": op4_html_text,
     "op5_quality_rules": op5_quality_rules,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_sharding": op7_sharding,
     "op8_minhash": op8_minhash,
     "op9_pii": op9_pii,

@@ -23,7 +23,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_LETTER = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
+LETTER = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
 _powers = np.ones(1, dtype=np.uint64)
 
 
@@ -39,7 +39,7 @@ def powers(n: int) -> np.ndarray:
 
 def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash per word of ``data``: a polynomial over random letters, by sums from the end."""
-    letters = _LETTER[np.frombuffer(data, dtype=np.uint8)]
+    letters = LETTER[np.frombuffer(data, dtype=np.uint8)]
     size = ends - starts
     top = int(size.max(initial=0))
     if top <= 64:
