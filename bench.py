@@ -19,13 +19,15 @@ import tempfile
 import time
 
 from facetable.plans.registry import QUERIES
-from facetable.session import build_session
+from facetable.session import build_session, drop_scratch
 
 
 def timed(spark, folder: str, name: str) -> float:
     start = time.perf_counter()
     QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    taken = time.perf_counter() - start
+    drop_scratch(spark)
+    return taken
 
 
 def main() -> None:

@@ -15,7 +15,7 @@ from facetable.operators import (
     run_sql,
 )
 from facetable.plans import ModeNotEnabled, TableHandle, open_table
-from facetable.session import build_session
+from facetable.session import build_session, drop_scratch
 from facetable.sources import (
     TableNotFound,
     create_table,
@@ -46,6 +46,7 @@ __all__ = [
     "create_table_from_parquet",
     "describe",
     "describe_frame",
+    "drop_scratch",
     "document_query",
     "export_csv",
     "export_table",

@@ -24,8 +24,13 @@ def document_query(
 
     ``limit`` keeps at most so many rows, any of them unless ``order_by`` says
     which.  ``order_by`` with ``limit`` is a top-k: each task keeps its own best
-    rows and only those are merged.  ``order_by`` and ``offset`` are extensions.
+    rows and only those are merged.  The rows of a limit, and those an offset passes
+    over, are gathered in one task, so both are for pages of a result.  An offset
+    needs a limit: alone it would gather the whole table there.  ``order_by`` and
+    ``offset`` are extensions.
     """
+    if offset is not None and limit is None:
+        raise ValueError("an offset needs a limit")
     if isinstance(select, str) or not select:
         raise ValueError("select needs a list of at least one field")
     if where:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import io
 from collections.abc import Sequence
-from contextlib import redirect_stdout
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,7 +56,8 @@ def query_table(
 
 
 def preview(frame: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
-    """At most ``rows`` rows; which ones is open unless the frame is sorted."""
+    """At most ``rows`` rows, gathered in one task; which ones is open unless the frame
+    is sorted."""
     return frame.limit(rows)
 
 
@@ -66,10 +65,7 @@ def preview_text(
     frame: DataFrame, rows: int = PREVIEW_ROWS, width: int = PREVIEW_WIDTH
 ) -> str:
     """The same as a text table whose cells are cut to ``width`` characters."""
-    text = io.StringIO()
-    with redirect_stdout(text):
-        frame.show(rows, truncate=width)
-    return text.getvalue()
+    return frame._show_string(rows, truncate=width) + "\n"
 
 
 def _refuse_text(value: Sequence[str], what: str) -> None:

@@ -13,9 +13,8 @@ own a third of the rows, so
 A hot key is one with more than 1/10000 of the rows.  There are fewer than 10000
 of them however large the table is, which bounds the lists that are broadcast.
 
-Sums are taken over whole hundredths as BIGINT: exact, so the order of addition
-does not show, and several times as fast as a sum of DECIMAL.  A sum too large for
-BIGINT raises in ANSI mode.
+Sums add DOUBLE values as they are; only results are rounded, where the order of
+addition would show in the last digits.
 """
 
 from __future__ import annotations
@@ -121,13 +120,9 @@ ACCEPTANCE["sql_join_range"] = (
 ACCEPTANCE["sql_group_agg"] = (
     ("orders",),
     """
-    SELECT o_orderstatus, orders, cents / 100D AS total,
-           round(cents / 100D / orders, 2) AS mean
-    FROM (
-      SELECT o_orderstatus, count(*) AS orders,
-             sum(CAST(rint(o_totalprice * 100) AS BIGINT)) AS cents
-      FROM orders GROUP BY o_orderstatus
-    ) AS sums
+    SELECT o_orderstatus, count(*) AS orders, round(sum(o_totalprice), 3) AS total,
+           round(avg(o_totalprice), 3) AS mean
+    FROM orders GROUP BY o_orderstatus
     """,
 )
 
@@ -157,10 +152,9 @@ ACCEPTANCE["sql_cube"] = (
     ("lineitem",),
     """
     SELECT l_returnflag, l_linestatus, CAST(sum(lines) AS BIGINT) AS lines,
-           sum(hundredths) / 100D AS quantity
+           round(sum(quantity), 3) AS quantity
     FROM (
-      SELECT l_returnflag, l_linestatus, count(*) AS lines,
-             sum(CAST(rint(l_quantity * 100) AS BIGINT)) AS hundredths
+      SELECT l_returnflag, l_linestatus, count(*) AS lines, sum(l_quantity) AS quantity
       FROM lineitem GROUP BY l_returnflag, l_linestatus
     ) AS finest
     GROUP BY CUBE (l_returnflag, l_linestatus)
@@ -180,40 +174,70 @@ ACCEPTANCE["sql_grouping_sets"] = (
 )
 
 # The place of every order among its customer's, dearest first.  Orders of a hot
-# customer are ranked within bands of 100 and moved down by the orders in the
-# bands above; only counts per band are gathered per customer.  Orders without a
-# price come last, in the lowest band.
+# customer are ranked within pieces and moved down by the orders before them.  The
+# pieces come from three digits, coarse to fine: a band of 100 in price, the price,
+# and 4096 neighbouring order keys.  So one price, no price or NaN on all orders of one
+# customer, which may be NULL, still makes many pieces.  Only counts per piece are
+# gathered, each sum over the pieces of one digit before it.
 ACCEPTANCE["sql_window_rank"] = (
     ("orders",),
     """
-    WITH hot AS (
-      SELECT o_custkey AS hot_key, TRUE AS is_hot FROM orders GROUP BY o_custkey
-      HAVING count(*) > (SELECT count(*) FROM orders) / 10000
-    ), banded AS (
-      SELECT /*+ BROADCAST(hot) */ o_custkey, o_orderkey, o_totalprice, is_hot,
-             CASE WHEN is_hot
-                  THEN coalesce(floor(o_totalprice / 100), -9223372036854775808L)
-                  ELSE 0
-             END AS band
-      FROM orders LEFT JOIN hot ON o_custkey = hot_key
-    ), above AS (
-      SELECT o_custkey AS above_key, band AS above_band,
-             sum(orders) OVER (
+    WITH keys AS (
+      SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey
+    ), hot AS (
+      SELECT o_custkey AS hot_key, TRUE AS is_hot FROM keys
+      WHERE orders > (SELECT sum(orders) FROM keys) / 10000
+    ), cut AS (
+      SELECT /*+ BROADCAST(hot) */ o_custkey, o_orderkey, o_totalprice,
+             coalesce(is_hot, FALSE) AS is_hot,
+             CASE WHEN NOT coalesce(is_hot, FALSE) THEN 0
+                  WHEN isnan(o_totalprice) THEN 9223372036854775807
+                  ELSE coalesce(floor(o_totalprice / 100), -9223372036854775808L)
+             END AS band,
+             CASE WHEN is_hot THEN o_totalprice END AS price,
+             CASE WHEN is_hot THEN floor(o_orderkey / 4096) ELSE 0 END AS piece
+      FROM orders LEFT JOIN hot ON o_custkey <=> hot_key
+    ), pieces AS (
+      SELECT o_custkey, band, price, piece, count(*) AS orders
+      FROM cut WHERE is_hot GROUP BY o_custkey, band, price, piece
+    ), prices AS (
+      SELECT o_custkey, band, price, sum(orders) AS orders
+      FROM pieces GROUP BY o_custkey, band, price
+    ), bands AS (
+      SELECT o_custkey, band, sum(orders) AS orders FROM prices GROUP BY o_custkey, band
+    ), before_band AS (
+      SELECT o_custkey, band, sum(orders) OVER (
                PARTITION BY o_custkey ORDER BY band DESC
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS orders_above
-      FROM (
-        SELECT o_custkey, band, count(*) AS orders FROM banded
-        WHERE is_hot GROUP BY o_custkey, band
-      ) AS counts
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS orders
+      FROM bands
+    ), before_price AS (
+      SELECT o_custkey, band, price, sum(orders) OVER (
+               PARTITION BY o_custkey, band ORDER BY price DESC
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS orders
+      FROM prices
+    ), before_piece AS (
+      SELECT o_custkey, band, price, piece, sum(orders) OVER (
+               PARTITION BY o_custkey, band, price ORDER BY piece
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS orders
+      FROM pieces
+    ), before AS (
+      SELECT c.o_custkey AS b_key, c.band AS b_band, c.price AS b_price, c.piece AS b_piece,
+             coalesce(a.orders, 0) + coalesce(b.orders, 0) + coalesce(c.orders, 0) AS ahead
+      FROM before_piece AS c
+      JOIN before_price AS b
+        ON c.o_custkey <=> b.o_custkey AND c.band = b.band AND c.price <=> b.price
+      JOIN before_band AS a ON c.o_custkey <=> a.o_custkey AND c.band = a.band
     ), placed AS (
-      SELECT o_custkey, o_orderkey, o_totalprice, band,
+      SELECT o_custkey, o_orderkey, o_totalprice, is_hot, band, price, piece,
              row_number() OVER (
-               PARTITION BY o_custkey, band ORDER BY o_totalprice DESC, o_orderkey) AS place
-      FROM banded
+               PARTITION BY o_custkey, band, price, piece
+               ORDER BY o_totalprice DESC, o_orderkey) AS place
+      FROM cut
     )
-    SELECT o_custkey, o_orderkey, o_totalprice,
-           place + coalesce(orders_above, 0) AS place
-    FROM placed LEFT JOIN above ON o_custkey = above_key AND band = above_band
+    SELECT o_custkey, o_orderkey, o_totalprice, place + coalesce(ahead, 0) AS place
+    FROM placed LEFT JOIN before
+      ON is_hot AND o_custkey <=> b_key AND band = b_band AND price <=> b_price
+         AND piece = b_piece
     """,
 )
 
@@ -234,22 +258,48 @@ ACCEPTANCE["sql_window_top"] = (
 )
 
 # Per user, in order of time: the value before, and the sum of a value and the
-# two before it.  Events of a hot user are cut by minute, and each minute is lent
-# the two events before it.  Those are among the last two of the minutes before,
-# so only two events per minute are gathered per user to find them.
+# two before it.  Events of a hot user are cut by minute, and each slice is lent
+# the two events before it.  Those are among the last two of the slices before,
+# so only two events per slice are gathered per user to find them.  A minute that is
+# hot itself is cut by time, and a time that is hot by 4096 neighbouring event ids;
+# no time counts as one time, before all others.
 ACCEPTANCE["sql_window_frame"] = (
     ("events",),
     """
-    WITH hot AS (
-      SELECT user_id AS hot_key, TRUE AS is_hot FROM events GROUP BY user_id
-      HAVING count(*) > (SELECT count(*) FROM events) / 10000
+    WITH minutes AS (
+      SELECT user_id, unix_micros(CAST(date_trunc('MINUTE', ts) AS TIMESTAMP)) AS minute,
+             count(*) AS events
+      FROM events GROUP BY ALL
+    ), few AS (
+      SELECT sum(events) / 10000 AS few FROM minutes
+    ), hot AS (
+      SELECT user_id AS hot_key, TRUE AS is_hot FROM minutes
+      GROUP BY user_id HAVING sum(events) > (SELECT few FROM few)
+    ), hot_minutes AS (
+      SELECT user_id AS minute_key, minute AS hot_minute, TRUE AS is_hot_minute FROM minutes
+      WHERE events > (SELECT few FROM few)
+    ), timed AS (
+      SELECT /*+ BROADCAST(hot), BROADCAST(hot_minutes) */ event_id, user_id, ts, value,
+             coalesce(is_hot, FALSE) AS is_hot,
+             coalesce(is_hot_minute, FALSE) AS is_hot_minute,
+             unix_micros(CAST(ts AS TIMESTAMP)) AS micros,
+             unix_micros(CAST(date_trunc('MINUTE', ts) AS TIMESTAMP)) AS minute
+      FROM events
+      LEFT JOIN hot ON user_id <=> hot_key
+      LEFT JOIN hot_minutes
+        ON user_id <=> minute_key
+           AND unix_micros(CAST(date_trunc('MINUTE', ts) AS TIMESTAMP)) <=> hot_minute
+    ), hot_times AS (
+      SELECT user_id AS time_key, micros AS hot_micros, TRUE AS is_hot_time FROM timed
+      WHERE is_hot_minute GROUP BY user_id, micros
+      HAVING count(*) > (SELECT few FROM few)
     ), sliced AS (
-      SELECT /*+ BROADCAST(hot) */ event_id, user_id, ts, value, is_hot,
-             CASE WHEN is_hot AND ts IS NOT NULL
-                  THEN unix_date(CAST(ts AS DATE)) * 1440 + hour(ts) * 60 + minute(ts)
-                  ELSE -2147483648
-             END AS slice
-      FROM events LEFT JOIN hot ON user_id = hot_key
+      SELECT /*+ BROADCAST(hot_times) */ event_id, user_id, ts, value, is_hot,
+             struct(
+               CASE WHEN is_hot THEN minute END AS minute,
+               CASE WHEN is_hot_minute THEN micros END AS time,
+               CASE WHEN is_hot_time THEN floor(event_id / 4096) END AS piece) AS slice
+      FROM timed LEFT JOIN hot_times ON user_id <=> time_key AND micros <=> hot_micros
     ), tails AS (
       SELECT user_id, slice, event_id, ts, value
       FROM (
@@ -268,7 +318,7 @@ ACCEPTANCE["sql_window_frame"] = (
     ), lent AS (
       SELECT user_id, slice,
              inline(filter(array(one_before, two_before), event -> event IS NOT NULL))
-      FROM looks WHERE slice_before <> slice
+      FROM looks WHERE NOT slice_before <=> slice AND slice_before IS NOT NULL
     ), framed AS (
       SELECT event_id, user_id, is_lent,
              sum(value) OVER (
@@ -307,17 +357,15 @@ ACCEPTANCE["sql_set_ops"] = (
     """,
 )
 
-# Total > mean is asked as total times count > sum, in whole cents: exact.
+# Customers who bought for more than the mean of all customers.
 ACCEPTANCE["sql_cte_subquery"] = (
     ("orders",),
     """
     WITH totals AS (
-      SELECT o_custkey, sum(CAST(rint(o_totalprice * 100) AS BIGINT)) AS cents
-      FROM orders GROUP BY o_custkey
+      SELECT o_custkey, sum(o_totalprice) AS total FROM orders GROUP BY o_custkey
     )
-    SELECT o_custkey, cents / 100D AS total FROM totals
-    WHERE CAST(cents AS DECIMAL(19, 0)) * (SELECT count(*) FROM totals)
-          > (SELECT sum(CAST(cents AS DECIMAL(19, 0))) FROM totals)
+    SELECT o_custkey, round(total, 3) AS total FROM totals
+    WHERE total > (SELECT avg(total) FROM totals)
     """,
 )
 
@@ -371,6 +419,20 @@ ACCEPTANCE["sql_json_funcs"] = (
     """,
 )
 
+ACCEPTANCE["sql_map_funcs"] = (
+    ("events",),
+    """
+    SELECT event_id, CAST(size(numbers) AS BIGINT) AS entries,
+           transform_values(numbers, (k, v) -> v * 2)['k'] AS doubled,
+           map_from_entries(array(struct(event_type AS key, user_id AS value)))[event_type]
+             AS user_id
+    FROM (
+      SELECT event_id, event_type, user_id, from_json(props, 'MAP<STRING, INT>') AS numbers
+      FROM events
+    ) AS parsed
+    """,
+)
+
 # Values that go into a text by name.
 ARGUMENTS = {"sql_parameters": {"low": 1000.0, "segment": "BUILDING"}}
 

@@ -7,6 +7,7 @@ measures against skew that the Spark side takes.
 from __future__ import annotations
 
 from facetable.plans.acceptance import ACCEPTANCE
+from facetable.plans.tables import TABLES
 
 ORACLE: dict[str, str] = {
     "project_filter": """
@@ -51,7 +52,8 @@ ORACLE: dict[str, str] = {
     "event_roundtrip": "SELECT * FROM events",
     "event_json_roundtrip": "SELECT * FROM documents",
     "stream_events": """
-        SELECT concat_ws(',', event_id, ts, user_id, event_type, value, props) AS text
+        SELECT concat_ws(',', event_id, ts, user_id, event_type, value, props) AS text,
+               'NOKEY' AS key
         FROM events
     """,
     "stream_events_parsed": "SELECT * FROM conversations",
@@ -65,6 +67,8 @@ ORACLE: dict[str, str] = {
                  unnest(range(1, len(embedding) + 1)) AS place
           FROM embeddings
         )
+        UNION ALL
+        SELECT vec_id, label, NULL, NULL FROM embeddings WHERE coalesce(len(embedding), 0) = 0
     """,
     "staged_export": "SELECT * FROM lineitem",
     "staged_export_orc": "SELECT * FROM orders",
@@ -74,24 +78,13 @@ ORACLE: dict[str, str] = {
                CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
                                 WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
                                 ELSE column_type END AS data_type
+               , CAST(NULL AS VARCHAR) AS comment
         FROM (DESCRIBE customer)
     """,
-    "catalog_list": """
-        SELECT 'region' AS table_name, count(*) AS n_rows FROM region
-        UNION ALL SELECT 'nation', count(*) FROM nation
-        UNION ALL SELECT 'customer', count(*) FROM customer
-        UNION ALL SELECT 'supplier', count(*) FROM supplier
-        UNION ALL SELECT 'part', count(*) FROM part
-        UNION ALL SELECT 'orders', count(*) FROM orders
-        UNION ALL SELECT 'lineitem', count(*) FROM lineitem
-        UNION ALL SELECT 'events', count(*) FROM events
-        UNION ALL SELECT 'documents', count(*) FROM documents
-        UNION ALL SELECT 'embeddings', count(*) FROM embeddings
-        UNION ALL SELECT 'pages', count(*) FROM pages
-        UNION ALL SELECT 'benchmark', count(*) FROM benchmark
-        UNION ALL SELECT 'labels', count(*) FROM labels
-        UNION ALL SELECT 'conversations', count(*) FROM conversations
-    """,
+    "catalog_list": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{table}' AS name, count(*) AS n_rows FROM {table}"
+        for table in TABLES
+    ),
     "expose_sql": """
         SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer
         WHERE c_acctbal > 5000
@@ -103,7 +96,8 @@ ORACLE: dict[str, str] = {
     """,
     "expose_event": """
         SELECT concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-                         o_orderdate, o_orderpriority) AS text
+                         o_orderdate, o_orderpriority) AS text,
+               'NOKEY' AS key
         FROM orders
     """,
     "sql_ddl_dml": """
@@ -143,7 +137,7 @@ ORACLE: dict[str, str] = {
     """,
     "sql_cube": """
         SELECT l_returnflag, l_linestatus, count(*) AS lines,
-               CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) AS quantity
+               round(sum(l_quantity), 3) AS quantity
         FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)
     """,
     "sql_grouping_sets": """
@@ -152,18 +146,15 @@ ORACLE: dict[str, str] = {
     """,
     "sql_group_agg": """
         SELECT o_orderstatus, count(*) AS orders,
-               CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total,
-               round(CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*), 2)
-                 AS mean
+               round(sum(o_totalprice), 3) AS total, round(avg(o_totalprice), 3) AS mean
         FROM orders GROUP BY o_orderstatus
     """,
     "sql_cte_subquery": """
         WITH totals AS (
-          SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS total
-          FROM orders GROUP BY o_custkey
+          SELECT o_custkey, sum(o_totalprice) AS total FROM orders GROUP BY o_custkey
         )
-        SELECT o_custkey, CAST(total AS DOUBLE) AS total FROM totals
-        WHERE total * (SELECT count(*) FROM totals) > (SELECT sum(total) FROM totals)
+        SELECT o_custkey, round(total, 3) AS total FROM totals
+        WHERE total > (SELECT avg(total) FROM totals)
     """,
     "sql_window_rank": """
         SELECT o_custkey, o_orderkey, o_totalprice,
@@ -174,9 +165,9 @@ ORACLE: dict[str, str] = {
     "sql_window_frame": """
         SELECT event_id, user_id,
                round(sum(value) OVER (
-                 PARTITION BY user_id ORDER BY ts, event_id
+                 PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id
                  ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS sum3,
-               lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous
+               lag(value) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id) AS previous
         FROM events
     """,
     "sql_scalar_funcs": """
@@ -203,6 +194,11 @@ ORACLE: dict[str, str] = {
                CAST(json_extract_string(props, '$.k') AS INTEGER) + 1 AS next
         FROM events
     """,
+    "sql_map_funcs": """
+        SELECT event_id, CAST(len(json_keys(props)) AS BIGINT) AS entries,
+               CAST(json_extract_string(props, '$.k') AS INTEGER) * 2 AS doubled, user_id
+        FROM events
+    """,
     "sql_parameters": """
         SELECT c_custkey, c_acctbal FROM customer
         WHERE c_acctbal >= 1000 AND c_mktsegment = 'BUILDING'

@@ -26,6 +26,7 @@ from facetable.operators import (
 )
 from facetable.plans.acceptance import ACCEPTANCE, ARGUMENTS
 from facetable.plans.expose import open_table
+from facetable.plans.tables import TABLES
 from facetable.session import scratch_database, scratch_path
 from facetable.sources import (
     create_table_from_parquet,
@@ -45,23 +46,6 @@ from facetable.streaming import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-TABLES = (
-    "region",
-    "nation",
-    "customer",
-    "supplier",
-    "part",
-    "orders",
-    "lineitem",
-    "events",
-    "documents",
-    "embeddings",
-    "pages",
-    "benchmark",
-    "labels",
-    "conversations",
-)
-
 ALL_AT_ONCE = {"availableNow": True}
 MESSAGE = "data binary, key binary"
 
@@ -80,6 +64,14 @@ def _create(spark: SparkSession, folder: str, table: str, database: str) -> str:
     return name
 
 
+def _register(spark: SparkSession, folder: str, table: str, database: str) -> str:
+    """Give an input a name in the catalog; its files stay where they are."""
+    location = table_path(folder, table).replace("'", "\\'")
+    name = f"{database}.{table}"
+    run_sql(spark, f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
+    return name
+
+
 # Projection and filter
 
 
@@ -195,7 +187,8 @@ def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     # As a pattern, because Spark streams a single file only by one.
     pattern = f"{path[:-1]}[{path[-1]}]"
     schema = read_parquet(spark, path).schema
-    return from_events(_send(spark, read_file_changes(spark, pattern, schema, 0), "text"))
+    messages = _send(spark, read_file_changes(spark, pattern, schema, 0), "text")
+    return from_events(messages, with_key=True)
 
 
 def stream_events_parsed(spark: SparkSession, folder: str) -> DataFrame:
@@ -234,7 +227,7 @@ def csv_nested_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     flat = "vec_id long, embedding string, label int"
     stored = spark.read.schema(flat).options(**LOSSLESS_CSV).csv(path)
     vector = parse_json(F.col("embedding"), rows.schema["embedding"].dataType)
-    return stored.select("vec_id", "label", F.posexplode(vector).alias("place", "value")).select(
+    return stored.select("vec_id", "label", F.posexplode_outer(vector).alias("place", "value")).select(
         "vec_id", "label", F.col("place").cast("long"), F.col("value").cast("double")
     )
 
@@ -261,8 +254,9 @@ def table_create_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def table_describe(spark: SparkSession, folder: str) -> DataFrame:
-    name = _create(spark, folder, "customer", scratch_database(spark, "describe"))
-    return describe(spark, name).select("col_name", "data_type")
+    return describe(
+        spark, _register(spark, folder, "customer", scratch_database(spark, "describe"))
+    )
 
 
 def catalog_list(spark: SparkSession, folder: str) -> DataFrame:
@@ -272,15 +266,15 @@ def catalog_list(spark: SparkSession, folder: str) -> DataFrame:
     """
     database = scratch_database(spark, "catalog")
     for table in TABLES:
-        location = table_path(folder, table).replace("'", "\\'")
-        run_sql(
-            spark, f"CREATE TABLE {database}.{table} USING parquet LOCATION '{location}'"
-        )
+        _register(spark, folder, table, database)
     listed = list_tables(spark).where(F.col("database") == database)
     counted = None
     for entry in listed.select("table", "full_name").collect():
         rows = get_table(spark, entry.full_name).agg(F.count(F.lit(1)).alias("n_rows"))
-        rows = rows.select(F.lit(entry["table"]).alias("table_name"), "n_rows")
+        name = entry.full_name.removeprefix(f"{database}.")
+        rows = rows.select(
+            F.lit(entry["table"]).alias("table_name"), F.lit(name).alias("name"), "n_rows"
+        )
         counted = rows if counted is None else counted.union(rows)
     return counted
 
@@ -289,7 +283,7 @@ def catalog_list(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def expose_sql(spark: SparkSession, folder: str) -> DataFrame:
-    name = _create(spark, folder, "customer", scratch_database(spark, "expose"))
+    name = _register(spark, folder, "customer", scratch_database(spark, "expose"))
     handle = open_table(spark, name)
     handle.expose("SQL")
     return handle.query_table(
@@ -298,7 +292,7 @@ def expose_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def expose_csv(spark: SparkSession, folder: str) -> DataFrame:
-    name = _create(spark, folder, "pages", scratch_database(spark, "expose"))
+    name = _register(spark, folder, "pages", scratch_database(spark, "expose"))
     handle = open_table(spark, name)
     path = handle.expose("CSV", directory=scratch_path(spark, "csv"), options=LOSSLESS_CSV)
     schema = scan_table(spark, name).schema
@@ -306,7 +300,7 @@ def expose_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def expose_gql(spark: SparkSession, folder: str) -> DataFrame:
-    name = _create(spark, folder, "customer", scratch_database(spark, "expose"))
+    name = _register(spark, folder, "customer", scratch_database(spark, "expose"))
     handle = open_table(spark, name)
     handle.expose("GQL", dataset=scratch_path(spark, "staged"))
     return handle.query_documents(
@@ -326,7 +320,7 @@ def expose_event(spark: SparkSession, folder: str) -> DataFrame:
         trigger=ALL_AT_ONCE,
     )
     query.awaitTermination()
-    return from_events(spark.read.schema(MESSAGE).parquet(sink))
+    return from_events(spark.read.schema(MESSAGE).parquet(sink), with_key=True)
 
 
 # SQL text

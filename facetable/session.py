@@ -35,6 +35,29 @@ def build_session(
     return builder.getOrCreate()
 
 
+# What this process has made in shared folders, by application.
+_scratch: dict[str, dict[str, list[str]]] = {}
+
+
+def _made(spark: SparkSession, kind: str) -> list[str]:
+    mine = _scratch.setdefault(spark.sparkContext.applicationId, {})
+    return mine.setdefault(kind, [])
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop the scratch databases and folders this session has made so far.
+
+    Call it after reading: frames that queries returned read what they wrote.
+    """
+    for name in _made(spark, "databases"):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in map(hadoop, _made(spark, "paths")):
+        path.getFileSystem(conf).delete(path, True)
+    _scratch.pop(spark.sparkContext.applicationId, None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -51,7 +74,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other call was given."""
-    return f"{shared_folder(spark)}/facetable/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/facetable/{label}-{uuid.uuid4().hex}"
+    _made(spark, "paths").append(path)
+    return path
 
 
 def scratch_database(spark: SparkSession, label: str) -> str:
@@ -59,4 +84,5 @@ def scratch_database(spark: SparkSession, label: str) -> str:
     name = f"facetable_{label}_{uuid.uuid4().hex}"
     location = scratch_path(spark, label).replace("'", "\\'")
     spark.sql(f"CREATE DATABASE {name} LOCATION '{location}'")
+    _made(spark, "databases").append(name)
     return name

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Spark forgets files it has seen, and passes over new ones, that are this much older
+# than the latest.  Its week would drop late files without a word; a century drops none.
+KEPT_AGE = "36500d"
+
 # How many files one micro-batch reads unless the caller says otherwise: a replay
 # of a large table then goes on from its last batch after a failure.  One listing
 # of the folder serves a hundred such batches.
@@ -82,8 +86,14 @@ def read_file_changes(
 
 
 def _bounded(options: Mapping[str, str] | None) -> dict[str, str]:
-    """The options, with a bound on the micro-batch when they hold none."""
+    """The options, with a bound on the micro-batch and without one on the age of files.
+
+    Both stay as the caller sets them.  The list of files seen, kept with the
+    checkpoint, then grows with the number of files.
+    """
     options = dict(options or {})
+    if "maxfileage" not in {name.lower() for name in options}:
+        options["maxFileAge"] = KEPT_AGE
     bounds = {"maxfilespertrigger", "maxbytespertrigger"}
     if not bounds & {name.lower() for name in options}:
         options["maxFilesPerTrigger"] = str(BATCH_FILES)

@@ -39,17 +39,27 @@ def to_events(frame: DataFrame, form: str = "text", key: str | None = None) -> D
 
 
 def from_events(
-    events: DataFrame, schema: T.StructType | None = None, form: str = "text"
+    events: DataFrame,
+    schema: T.StructType | None = None,
+    form: str = "text",
+    with_key: bool = False,
 ) -> DataFrame:
     """What a consumer reads: the text of each message, or the row it came from.
 
     With a schema the message is parsed and a message that does not fit raises.
+    ``with_key`` adds the key of the message as text, in a last column ``key``; a row
+    that has a column of that name cannot be asked for it.
     """
     text = payload_text(F.col("data"))
+    keys = [payload_text(F.col("key")).alias("key")] if with_key else []
     if schema is None:
-        return events.select(text.alias("text"))
+        return events.select(text.alias("text"), *keys)
+    if with_key and "key" in (name.lower() for name in schema.names):
+        raise ValueError("the row has a column named key of its own")
     parse = {"text": parse_text, "json": parse_json}[form]
-    return events.select(parse(text, schema).alias("row")).select("row.*")
+    return events.select(parse(text, schema).alias("row"), *keys).select(
+        "row.*", *(["key"] if with_key else [])
+    )
 
 
 def write_events(

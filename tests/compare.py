@@ -9,7 +9,8 @@ from collections import Counter
 
 import duckdb
 
-from facetable.plans.registry import TABLES, table_path
+from facetable.plans.registry import table_path
+from facetable.plans.tables import TABLES
 
 
 def open_duckdb(folder: str) -> duckdb.DuckDBPyConnection:

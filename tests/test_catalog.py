@@ -1,5 +1,6 @@
 """Tables by name."""
 
+import pathlib
 from unittest.mock import MagicMock
 
 import pytest
@@ -138,3 +139,23 @@ def test_a_cluster_must_name_its_shared_folder():
     )
     with pytest.raises(ValueError):
         scratch_path(cluster, "x")
+
+
+def test_scratch_is_dropped(spark, data):
+    """Queries leave nothing behind, and those that only name a table copy nothing."""
+    from facetable import drop_scratch
+    from facetable.plans.registry import QUERIES
+    from facetable.session import shared_folder
+
+    drop_scratch(spark)
+    before = {r[0] for r in spark.sql("SHOW DATABASES").collect()}
+    for name in ("describe", "expose_sql"):
+        QUERIES[name](spark, data).collect()
+    folder = pathlib.Path(shared_folder(spark)) / "facetable"
+    assert not list(folder.rglob("*.parquet"))
+    QUERIES["table_create_scan"](spark, data).collect()
+    assert list(folder.rglob("*.parquet"))
+    drop_scratch(spark)
+    assert {r[0] for r in spark.sql("SHOW DATABASES").collect()} == before
+    assert not list(folder.rglob("*.parquet"))
+    assert spark.read.parquet(f"{data}/customer.parquet").count() == 150

@@ -156,3 +156,8 @@ def test_where_means_the_same_as_sql(spark, rows, pair):
     rows.createOrReplaceTempView("document_rows")
     by_sql = run_sql(spark, f"SELECT id FROM document_rows WHERE {text}")
     assert ids(document_query(rows, ["id"], where)) == ids(by_sql)
+
+
+def test_an_offset_needs_a_limit(rows):
+    with pytest.raises(ValueError, match="limit"):
+        document_query(rows, ["id"], order_by={"id": "asc"}, offset=1)

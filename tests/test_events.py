@@ -128,3 +128,14 @@ def test_whole_tables_survive(spark, data):
         rows = spark.read.parquet(f"{data}/{table}.parquet")
         back = from_events(to_events(rows, form), rows.schema, form)
         assert spark_bag(back) == spark_bag(rows)
+
+
+def test_keys_come_back(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
+    sent = to_events(rows, key="name")
+    assert sorted(from_events(sent, with_key=True).collect(), key=str) == [("1,a", "a"), ("2", None)]
+    back = from_events(to_events(rows, "json", key="id"), rows.schema, "json", with_key=True)
+    assert sorted(back.collect()) == [(1, "a", "1"), (2, None, "2")]
+    named = rows.withColumnRenamed("name", "key")
+    with pytest.raises(ValueError, match="key"):
+        from_events(to_events(named), named.schema, with_key=True)

@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from facetable.plans.oracle import ORACLE
+from facetable.plans.registry import QUERIES
 from tests.compare import duckdb_bag, open_duckdb, spark_bag
 
 
@@ -12,16 +14,17 @@ def duck(data):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 def test_entry(spark):
     assert entry(spark).count() == 66
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, data, duck, name):
-    names, rows = spark_bag(queries()[name](spark, data))
-    expected_names, expected = duckdb_bag(duck, oracle_sql()[name])
+    names, rows = spark_bag(QUERIES[name](spark, data))
+    expected_names, expected = duckdb_bag(duck, ORACLE[name])
     assert names == expected_names
     assert rows == expected

@@ -9,7 +9,8 @@ import duckdb
 import pytest
 
 from facetable.plans.oracle import ORACLE
-from facetable.plans.registry import QUERIES, TABLES, table_path
+from facetable.plans.registry import QUERIES, table_path
+from facetable.plans.tables import TABLES
 from tests.compare import duckdb_bag, open_duckdb, spark_bag
 
 SOURCE = os.environ.get("TEST_SKEW_DIR", "/root/testdata/sf0.01")

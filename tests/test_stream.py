@@ -177,3 +177,19 @@ def test_sinks_are_parameters(spark, table, tmp_path):
     )
     query.awaitTermination()
     assert spark.table("in_memory").count() == 1000
+
+
+def test_late_files_are_not_lost(spark, tmp_path):
+    """A file whose time is eight days before the latest still goes out."""
+    import os
+
+    source, sink, checkpoint = (str(tmp_path / name) for name in ("source", "sink", "c"))
+    spark.range(10).coalesce(1).write.parquet(source)
+    schema = spark.range(1).schema
+    send(spark, read_file_changes(spark, source, schema, 0), checkpoint, sink)
+    spark.range(5).coalesce(1).write.mode("append").parquet(source)
+    files = sorted((tmp_path / "source").glob("*.parquet"), key=os.path.getmtime)
+    late = time.time() - 8 * 86400
+    os.utime(files[-1], (late, late))
+    send(spark, read_file_changes(spark, source, schema, 0), checkpoint, sink)
+    assert sent(spark, sink) == 15
