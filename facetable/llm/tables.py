@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import pathlib
 import tempfile
 import zipfile
@@ -10,6 +9,8 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from facetable.session import scratch_path
+
 #: White space that separates words: space, tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -64,5 +65,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return functools.reduce(DataFrame.unionByName, frames)
+def settled(rows: DataFrame) -> DataFrame:
+    """``rows`` written to the shared folder and read again.
+
+    Unlike a checkpoint, which keeps the estimates of the plan it came from, the result
+    has the size of its files; in loops those estimates would multiply without end.
+    """
+    path = scratch_path(rows.sparkSession, "step")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -1,0 +1,127 @@
+"""The operators once more, as plainly as possible, for small inputs."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def quality(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    text, w = text or "", words(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    grams = [tuple(w[i : i + 8]) for i in range(len(w) - 7)]
+    counts, covered = Counter(grams), set()
+    for i, g in enumerate(grams):
+        if counts[g] > 1:
+            covered.update(range(i, i + 8))
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def shingles(text, size=5):
+    w = words((text or "").translate(LOWER))
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def near(docs, percent=75):
+    """(doc_id, n_shingles, component_id) of rows with distinct ids."""
+    sets = {d: shingles(t) for d, t in docs if d is not None}
+    parent = {d: d for d in sets}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                parent[y] = x
+    return [(d, len(sets[d]), top(d)) for d in ids]
+
+
+def repeats(docs, depth=50):
+    """(doc_id, n_bytes, n_removed, n_spans, sha256 of the rest)."""
+    coded = [(d, (t or "").encode()) for d, t in docs]
+    first = {}
+    for d, b in coded:
+        if d is not None:
+            for i in range(len(b) - depth + 1):
+                w = b[i : i + depth]
+                first[w] = min(d, first.get(w, d))
+    out = []
+    for d, b in coded:
+        gone = bytearray(len(b))
+        for i in range(len(b) - depth + 1):
+            if d is not None and first[b[i : i + depth]] < d:
+                gone[i : i + depth] = b"\1" * depth
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        spans = len(re.findall(b"\1+", bytes(gone)))
+        out.append((d, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(text):
+    total = 0
+    for i, c in enumerate(reversed([int(c) for c in text if c.isdigit()])):
+        total += c if i % 2 == 0 else 2 * c - 9 * (c > 4)
+    return total % 10 == 0
+
+
+def personal(text):
+    """kind:start:end of the base rules."""
+    digits = lambda m: sum(c.isdigit() for c in m)
+    rules = [
+        ("email", EMAIL, lambda m: True),
+        ("ip", IP, lambda m: all(int(p) <= 255 for p in m.split("."))),
+        ("card", CARD, lambda m: 14 <= digits(m) <= 19 and luhn(m)),
+        ("phone", PHONE, lambda m: 10 <= digits(m) <= 15),
+    ]
+    found = [
+        (m.start(), k, m.end(), name)
+        for k, (name, pattern, passes) in enumerate(rules)
+        for m in pattern.finditer(text or "")
+        if passes(m[0])
+    ]
+    return ",".join(f"{name}:{start}:{end}" for start, _, end, name in sorted(found))
+
+
+PUNCTUATION = re.compile(r"[!-/:-@\[-`{-~]")
+
+
+def leaks(text, items, least=0.75):
+    """Items with a window of weighted similarity of ``least`` or more."""
+    w, found = words(PUNCTUATION.sub("", (text or "").translate(LOWER))), set()
+    for item, passage in items:
+        v = words(PUNCTUATION.sub("", (passage or "").translate(LOWER)))
+        size = min(5, len(v))
+        if not v or len(w) < size:
+            continue
+        a = Counter(tuple(v[i : i + size]) for i in range(len(v) - size + 1))
+        s = [tuple(w[i : i + size]) for i in range(len(w) - size + 1)]
+        n = min(sum(a.values()), len(s))
+        for i in range(len(s) - n + 1):
+            b = Counter(s[i : i + n])
+            both = sum((a & b).values())
+            if both / (sum(a.values()) + n - both) >= least:
+                found.add(item)
+                break
+    return found
