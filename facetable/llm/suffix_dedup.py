@@ -292,7 +292,7 @@ def compare_runs(sent: DataFrame, buckets: int, depth: int = DEPTH, hot: int = H
 
 
 def send_bytes(wanted: DataFrame, buckets: int, depth: int = DEPTH) -> DataFrame:
-    """The bytes of the runs that are asked for (text, wanted), by bucket."""
+    """The bytes of the runs that are asked for (doc_id, text, wanted), by bucket."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,6 +300,8 @@ def send_bytes(wanted: DataFrame, buckets: int, depth: int = DEPTH) -> DataFrame
             routes, docs, places, counts, texts = [], [], [], [], []
             lone: dict[bytes, list[tuple[int, int]]] = {}
             for doc, text, asked in zip(*(batch.column(c) for c in ("doc_id", "text", "wanted")), strict=True):
+                if not asked.is_valid:
+                    continue
                 data, doc = (text.as_py() or "").encode("utf-8", "replace"), doc.as_py()
                 for payload in asked.as_py():
                     for anchor, place, count, many in zip(*unpack(payload, "u8", "i8", "u1", "u1")[:-1], strict=True):
@@ -413,8 +415,10 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, hot: int = HOT) -> DataF
     def per_doc(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("doc_id").agg(F.collect_list("payload").alias(name))
 
-    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    asked = texts.join(per_doc(found.where(F.col("kind") == WANTED), "wanted"), "doc_id")
+    # Both joins have the same left side, so the texts are shuffled once and read twice.
+    asked = docs.select("doc_id", "text").join(
+        per_doc(found.where(F.col("kind") == WANTED), "wanted"), "doc_id", "left"
+    )
     sorted_out = sort_suffixes(send_bytes(asked, buckets, depth), buckets, depth)
     spans = per_doc(found.where(F.col("kind") == SPANS).union(sorted_out), "spans")
 
