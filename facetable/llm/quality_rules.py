@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetable.llm.tables import words_of
+from facetable.llm.tables import fixed, words_of
 
 WINDOW = 8
 
@@ -118,35 +118,36 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     kept = [c for c in docs.columns if c not in MEASUREMENTS]
     split = docs.select(
-        *kept,
-        words_of(F.col(text_col)).alias("_words"),
-        F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"),
+        F.struct(*kept).alias("row"),  # so that no name of theirs meets one used here
+        text.alias("text"),
+        words_of(F.col(text_col)).alias("words"),
+        F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
-    n = F.size("_words")
+    n, text = F.size("words"), F.col("text")
     hashed = split.select(
-        *kept,
+        "row",
         n.alias("n_words"),
-        F.length(F.array_join("_words", "")).alias("word_chars"),
+        F.length(F.array_join("words", "")).alias("word_chars"),
         _count(text, "#*$%&|<>").alias("n_symbols"),
-        F.size("_lines").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).alias("n_dup_lines"),
+        F.size("lines").alias("n_lines"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         _count(text, "!").alias("n_exclaim"),
         F.size(
-            F.filter("_lines", lambda x: F.endswith(x, F.lit("...")) | F.endswith(x, F.lit("…")))
+            F.filter("lines", lambda x: F.endswith(x, F.lit("...")) | F.endswith(x, F.lit("…")))
         ).alias("n_cut_lines"),
-        F.transform("_words", lambda w: F.xxhash64(w)).alias("_word_hash"),
+        F.transform("words", lambda w: F.xxhash64(w)).alias("word_hash"),
     )
     windows = hashed.withColumn(
-        "_windows",
+        "windows",
         F.when(
-            F.col("n_words") >= WINDOW, _window_hashes(F.col("_word_hash"), F.col("n_words"))
+            F.col("n_words") >= WINDOW, _window_hashes(F.col("word_hash"), F.col("n_words"))
         ),
     )
     repeats = F.when(
-        F.size(F.array_distinct("_windows")) < F.size("_windows"), _repeat_words(F.col("_windows"))
+        F.size(F.array_distinct("windows")) < F.size("windows"), _repeat_words(F.col("windows"))
     )
     measured = windows.withColumn("n_repeat_words", F.coalesce(repeats, F.lit(0)))
-    return measured.select(*kept, *[F.col(m).cast("long").alias(m) for m in MEASUREMENTS])
+    return measured.select("row.*", *[F.col(m).cast("long").alias(m) for m in MEASUREMENTS])
 
 
 def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -158,7 +159,7 @@ def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
     failed = bits[0]
     for bit in bits[1:]:
         failed = failed.bitwiseOR(bit)
-    return measure(docs, text_col).withColumn("failed", failed)
+    return measure(docs, text_col).withColumn("failed", fixed(failed))
 
 
 def fails(policy: str) -> Column:

@@ -60,6 +60,15 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(plain, " "), "")
 
 
+def fixed(value: Column) -> Column:
+    """The same value, computed where it stands.
+
+    A filter on a computed column is otherwise moved below it, with the whole
+    computation copied into the condition, once for every use.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)  # always so, and never moved
+
+
 def partitions(spark: SparkSession) -> int:
     """The number of shuffle partitions the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
