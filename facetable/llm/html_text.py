@@ -59,6 +59,8 @@ FRAMES = frozenset(
 )
 ROOTS = frozenset(["article", "main"])
 CLOSED_BY_BLOCK = frozenset(["p"])
+#: A tag that the end of the page cuts off.
+CUT_OFF = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")
 _PARTS = re.compile(r"[^a-z0-9]+")
 
 SIGMA = 1.0
@@ -73,7 +75,7 @@ class Lines(HTMLParser):
         self.lines: list[tuple[str, int, bool, bool, int]] = []
         self.stack: list[tuple[str, bool, bool]] = []  # tag, opens chrome, opens article
         self.open: dict[str, int] = {}
-        self.chrome = self.article = self.links = 0
+        self.chrome = self.muted = self.article = self.links = 0
         self.parts: list[str] = []
         self.tags = self.link_chars = 0
 
@@ -98,11 +100,13 @@ class Lines(HTMLParser):
             return
         root = tag in ROOTS
         chrome = self._is_chrome(tag, attrs)
-        if chrome:  # a part of its own, also for inline elements
-            self.end_line()
         self.stack.append((tag, chrome, root))
         self.open[tag] = self.open.get(tag, 0) + 1
-        self.chrome += chrome
+        # A block of this kind is a line of its own; within a line, text is left out.
+        if tag in BLOCKS:
+            self.chrome += chrome
+        else:
+            self.muted += chrome
         self.article += root
         self.links += tag == "a"
 
@@ -143,17 +147,20 @@ class Lines(HTMLParser):
                 return
         while True:
             name, chrome, root = self.stack.pop()
-            if chrome:
+            if chrome and name in BLOCKS:
                 self.end_line()
             self.open[name] -= 1
-            self.chrome -= chrome
+            if name in BLOCKS:
+                self.chrome -= chrome
+            else:
+                self.muted -= chrome
             self.article -= root
             self.links -= name == "a"
             if name == tag:
                 return
 
     def handle_data(self, data: str) -> None:
-        if self.stack and self.stack[-1][0] in ("script", "style"):
+        if self.muted:
             return
         self.parts.append(data)
         if self.links:
@@ -173,7 +180,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     parser = Lines()
-    parser.feed(html)
+    parser.feed(CUT_OFF.sub("", html))
     parser.close()
     parser.end_line()
     lines = parser.lines

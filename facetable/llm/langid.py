@@ -35,6 +35,9 @@ WIDTHS = (2, 3, 4)
 FILTERS = 8
 DIM = 8
 EPOCHS = 6
+#: Steps at least, for small samples.
+LEAST_STEPS = 300
+BATCH = 64
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 #: Windows looked at in one step; bounds the memory of a worker to a few MB.
@@ -124,10 +127,11 @@ def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], epochs: int
             d_bias.append(d.sum(0))
         return [d_emb, *d_fil, *d_bias, active.T @ p, p.sum(0)]
 
-    for _ in range(epochs):
+    per_epoch = -(-len(windows) // BATCH)
+    for _ in range(max(epochs, -(-LEAST_STEPS // per_epoch))):
         order = rng.permutation(len(windows))
-        for at in range(0, len(order), 64):
-            batch = order[at : at + 64]
+        for at in range(0, len(order), BATCH):
+            batch = order[at : at + BATCH]
             step += 1
             for i, g in enumerate(gradient(windows[batch], labels[batch])):
                 first[i] = 0.9 * first[i] + 0.1 * g

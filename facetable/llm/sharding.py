@@ -85,31 +85,33 @@ def shuffle_into_shards(
 ) -> DataFrame:
     """``rows`` with ``shard`` (from 0) and ``slot`` (gapless from 0 in each shard)."""
     rows = rows.select(*[c for c in rows.columns if c not in ("shard", "slot")])
-    names = [F.col(f"`{c}`") for c in rows.columns]
-    key = F.xxhash64(F.lit(seed), *names)
-    keyed = rows.withColumn("_key", key).withColumn("_block", F.pmod("_key", F.lit(blocks)).cast("int"))
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    keyed = rows.select(
+        F.struct(*columns).alias("row"),  # so that no name of theirs meets one used here
+        F.xxhash64(F.lit(seed), *columns).alias("key"),
+    ).withColumn("block", F.pmod("key", F.lit(blocks)).cast("int"))
 
     spark = rows.sparkSession
-    counts = dict(keyed.groupBy("_block").count().collect())
+    counts = dict(keyed.groupBy("block").count().collect())
     sizes = bin_sizes(sum(counts.values()), shards, bins)
     matrix = draw_matrix(np.array([counts.get(b, 0) for b in range(blocks)]), sizes, seed)
     starts = (np.cumsum(sizes.reshape(shards, bins), axis=1) - sizes.reshape(shards, bins)).ravel()
     # One row per block: at most blocks * shards * bins numbers, whatever the data.
     dealt = spark.createDataFrame(
         [(b, np.cumsum(matrix[b]).tolist()) for b in range(blocks)],
-        "_block int, _ends array<bigint>",
+        "block int, ends array<bigint>",
     )
-    first = Window.partitionBy("_block").orderBy(F.xxhash64("_key", F.lit(1)), "_key")
+    first = Window.partitionBy("block").orderBy(F.xxhash64("key", F.lit(1)), "key")
     placed = (
-        keyed.withColumn("_at", F.row_number().over(first) - 1)
-        .join(F.broadcast(dealt), "_block")
-        .withColumn("_bin", F.size(F.filter("_ends", lambda end: end <= F.col("_at"))))
-        .drop("_ends", "_at", "_block")
+        keyed.withColumn("at", F.row_number().over(first) - 1)
+        .join(F.broadcast(dealt), "block")
+        .withColumn("bin", F.size(F.filter("ends", lambda end: end <= F.col("at"))))
+        .drop("ends", "at", "block")
     )
-    second = Window.partitionBy("_bin").orderBy(F.xxhash64("_key", F.lit(2)), "_key")
-    start = F.get(F.lit(starts.tolist()).cast("array<bigint>"), F.col("_bin"))
+    second = Window.partitionBy("bin").orderBy(F.xxhash64("key", F.lit(2)), "key")
+    start = F.get(F.lit(starts.tolist()).cast("array<bigint>"), F.col("bin"))
     return placed.select(
-        *names,
-        (F.col("_bin") / bins).cast("int").alias("shard"),
+        "row.*",
+        (F.col("bin") / bins).cast("int").alias("shard"),
         (start + F.row_number().over(second) - 1).alias("slot"),
     )
