@@ -18,13 +18,12 @@ them as they are (4) or gives them no tokens (5).  Repeated rows stay together.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetable.llm import bpe, decontaminate, minhash, pii, quality_rules
 from facetable.llm.tables import load, ship
+from facetable.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -71,8 +70,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the rows of the last one."""
     ship(spark)
-    shared = spark.conf.get("spark.checkpoint.dir").rstrip("/")
-    folder = f"{shared}/facetable/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")

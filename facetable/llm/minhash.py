@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from facetable.llm.components import components
 from facetable.llm.shingles import mix, shingle_set
+from facetable.llm.tables import checkpointed
 
 THRESHOLD = 75  # per cent
 PERMUTATIONS = 100
@@ -172,17 +173,16 @@ def _chunk(size: F.Column, most: int) -> F.Column:
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id and kept."""
-    sketches = sketch(docs).checkpoint()
+    sketches = checkpointed(sketch(docs))
 
     key = ["n_shingles", "h1", "h2"]
     usable = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy(*key).agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     # Only classes of several rows are joined back; the hot ones are what skew handling splits.
-    classed = (
+    classed = checkpointed(
         sketches.select("doc_id", *key)
         .join(classes.where("n > 1").drop("n"), key, "left")
         .select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("class_id"))
-        .checkpoint()
     )
     single = usable.join(
         classed.where("doc_id = class_id").select("doc_id").distinct(), "doc_id", "left_semi"
@@ -191,9 +191,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     hubs = members.groupBy("band").agg(
         F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"), F.count("*").alias("n")
     )
-    groups = members.join(hubs.where("hub < last").drop("last"), "band").checkpoint()
+    groups = checkpointed(members.join(hubs.where("hub < last").drop("last"), "band"))
 
-    sets = full_sets(docs, groups.select("doc_id").distinct()).checkpoint()
+    sets = checkpointed(full_sets(docs, groups.select("doc_id").distinct()))
     star = groups.where("hub < doc_id").select("hub", "doc_id").distinct()
     sizes = star.groupBy("hub").agg(_chunks(F.count("*"), RIGHT).alias("chunks"))
     chunk = F.pmod(F.xxhash64("doc_id"), "chunks")
@@ -203,7 +203,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     left = sizes.select("hub", F.explode(_numbers("chunks")).alias("chunk")).select(
         F.xxhash64("hub", "chunk").alias("task"), F.lit(0).alias("side"), F.col("hub").alias("doc_id"), F.col("hub").alias("label")
     )
-    first = confirm(left.union(right), sets, threshold).checkpoint()
+    first = checkpointed(confirm(left.union(right), sets, threshold))
     labels = components(first)
 
     # Groups that reach into several components: all pairs across, in chunks.

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetable.llm.shingles import LETTER, mix
-from facetable.llm.tables import partitions
+from facetable.llm.tables import checkpointed, partitions
 
 DEPTH = 50
 ANCHOR = 20
@@ -410,7 +410,7 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, hot: int = HOT) -> DataF
     """``docs`` without ``text``, with ``kept`` (the bytes that stay), ``n_bytes``,
     ``n_removed`` and ``n_spans``."""
     buckets = SPREAD * partitions(docs.sparkSession)
-    found = compare_runs(send_runs(docs, buckets, depth), buckets, depth, hot).checkpoint()
+    found = checkpointed(compare_runs(send_runs(docs, buckets, depth), buckets, depth, hot))
 
     def per_doc(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("doc_id").agg(F.collect_list("payload").alias(name))

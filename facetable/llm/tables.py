@@ -9,7 +9,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetable.session import scratch_path
+from facetable.session import scratch_path, shared_folder
 
 #: White space that separates words: space, tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -74,6 +74,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """``rows`` in the checkpoint folder, which is the shared one if none is set."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
+    return rows.checkpoint()
+
+
 def settled(rows: DataFrame) -> DataFrame:
     """``rows`` written to the shared folder and read again.
 
