@@ -182,7 +182,10 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     classed = checkpointed(
         sketches.select("doc_id", *key)
         .join(classes.where("n > 1").drop("n"), key, "left")
-        .select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("class_id"))
+        .select(
+            "doc_id", "n_shingles",
+            F.when(F.col("doc_id").isNotNull(), F.coalesce("first", "doc_id")).alias("class_id"),
+        )
     )
     single = usable.join(
         classed.where("doc_id = class_id").select("doc_id").distinct(), "doc_id", "left_semi"

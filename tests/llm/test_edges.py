@@ -71,6 +71,11 @@ def test_odd_rows(operators, odd_rows, name):
     assert sum(r["doc_id"] is None for r in rows) == 2
 
 
+def test_rows_without_an_id_are_linked_with_nothing(operators, odd_rows):
+    for r in operators["near"](odd_rows.union(odd_rows)).where("doc_id IS NULL").collect():
+        assert r.component_id is None and r.kept
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_empty_table(operators, odd_rows, name):
     frame = operators[name](odd_rows.where("FALSE"))
