@@ -11,10 +11,9 @@ as well.  So:
   merges), and never running one;
 * merge exactly: only the words that fail are encoded by applying merges.
 
-Stretches between white space are cut into words and encoded once, and kept for the
-next batches in two generations of fixed size, so memory is bounded and what is used
-stays; texts then become look-ups.  The vocabulary is a file that every worker reads;
-its path is a parameter.
+Words are encoded once per task and kept for the next batches (the store is emptied
+at a fixed size, so memory is bounded); texts then become look-ups.  The vocabulary
+is a file that every worker reads; its path is a parameter.
 
 Edge cases: NULL and empty texts have no tokens and decode to an empty text; the
 strings of special tokens become those tokens; repeated rows are encoded alike;
@@ -27,9 +26,8 @@ from __future__ import annotations
 import functools
 import heapq
 import json
-import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -39,14 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 TOKENIZER = "word_bpe_49k.json"
-#: Distinct words, and distinct stretches of text, in a generation; some 100 MB in all.
-KEPT_WORDS = 150_000
+#: Distinct words a worker keeps; some 100 MB.
+KEPT_WORDS = 400_000
 #: Characters of text whose new words are learned together.
 CHUNK = 1_000_000
 #: Rows whose tokens are Python objects at one time.
 SLICE = 500
 END = "</w>"
-CONTROL = re.compile("[\x1c-\x1f]")
 PREFIX = 4
 
 
@@ -66,28 +63,13 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-class Store(dict):
-    """What is known, in two generations: at ``KEPT_WORDS`` entries the older one goes, and
-    what is asked for again moves to the newer one."""
-
-    older: dict = {}
-
-    def missing(self, keys: Iterable) -> list:
-        """The keys that are in neither generation."""
-        out = []
-        for key in keys:
-            if key not in self:
-                found = self.older.get(key)
-                if found is None:
-                    out.append(key)
-                else:
-                    self[key] = found
-        return out
-
-    def turn(self) -> None:
-        if len(self) > KEPT_WORDS:
-            self.older = dict(self)
-            self.clear()
+def token_strings(spec: dict) -> list[str]:
+    """The string of each token by its id."""
+    known = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    text = [""] * (1 + max(known.values()))
+    for token, i in known.items():
+        text[i] = token
+    return text
 
 
 class Codec:
@@ -99,10 +81,8 @@ class Codec:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.size = 1 + max([*self.vocab.values(), *self.special.values()])
-        self.text = [""] * self.size
-        for token, i in [*self.vocab.items(), *self.special.items()]:
-            self.text[i] = token
+        self.text = token_strings(spec)
+        self.size = len(self.text)
         self.letters = byte_letters()
         self.pattern = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
@@ -114,8 +94,8 @@ class Codec:
         for token in self.own:
             start = token[:PREFIX]
             self.reach[start] = max(len(token), self.reach.get(start, 0))
-        self.known_words = Store()
-        self.known = Store()
+        # Special tokens stand in the lists of words as their ids.
+        self.store: dict[str | int, list[int]] = {i: [i] for i in self.special.values()}
 
     def _merges(self, merges: list) -> None:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
@@ -236,8 +216,9 @@ class Codec:
                 offer(before[i])
         return [i for i in ids if i >= 0]
 
-    def learn(self, words: list[str]) -> None:
-        """Encode words that are not known, all of them together."""
+    def learn(self, words: set[str]) -> None:
+        """Encode words that are not in the store, all of them together."""
+        words = [w for w in words if w not in self.store]
         letters = self.letters
         proposals, again = [], []
         for word in words:
@@ -260,13 +241,13 @@ class Codec:
                 if bad:
                     again.append((word, symbols))
                 else:
-                    self.known_words[word] = ids
+                    self.store[word] = ids
         for word, symbols in again:
             parts = [self.vocab[s] for s in symbols[:-1]] + [self.vocab[symbols[-1] + END]]
-            self.known_words[word] = self.merge(parts)
+            self.store[word] = self.merge(parts)
 
-    def stretches(self, text: str) -> list[str | int]:
-        """What stands between white space, in order; special tokens as their ids."""
+    def words(self, text: str) -> list[str | int]:
+        """Words in order; special tokens as their ids."""
         if self.cut is None or not self.cut.search(text):
             return self._plain(text)
         out, at = [], 0
@@ -279,8 +260,7 @@ class Codec:
     def _plain(self, text: str) -> list[str]:
         # Letter by letter: a capital sigma is lowered alike wherever it stands.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        # split() also takes four control characters, which are symbols here.
-        return text.split() if not CONTROL.search(text) else self.pattern.findall(text)
+        return self.pattern.findall(text)
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """The tokens of each text; a chunk's new words are learned together."""
@@ -296,18 +276,16 @@ class Codec:
         return out + self._encode(chunk)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.stretches(text) for text in texts]
-        self.known.turn()
-        self.known_words.turn()
-        fresh = self.known.missing(set().union(*split))
-        words = {s: self.pattern.findall(s) for s in fresh if type(s) is str}
-        self.learn(self.known_words.missing(set().union(*words.values())))
-        ids = self.known_words.__getitem__
-        for s in fresh:  # a special token stands for itself
-            self.known[s] = [s] if type(s) is int else list(chain.from_iterable(map(ids, words[s])))
+        split = [self.words(text) for text in texts]
+        used = set().union(*split)
+        fresh = {w for w in used if type(w) is str and w not in self.store}
+        if len(self.store) + len(fresh) > KEPT_WORDS:
+            self.store = {i: [i] for i in self.special.values()}
+            fresh = {w for w in used if type(w) is str}
+        self.learn(fresh)
         return [
-            np.fromiter(chain.from_iterable(map(self.known.__getitem__, part)), dtype=np.int32)
-            for part in split
+            np.fromiter(chain.from_iterable(map(self.store.__getitem__, words)), dtype=np.int32)
+            for words in split
         ]
 
 
@@ -317,6 +295,13 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@functools.lru_cache(maxsize=2)
+def strings(path: str) -> list[str]:
+    """All that decoding needs; a worker that only decodes builds no merges."""
+    with open(path, encoding="utf-8") as file:
+        return token_strings(json.load(file))
+
+
 def _mapped(df: DataFrame, name: str, kind: T.DataType, make) -> DataFrame:
     """``df`` with a column that ``make`` computes from each Arrow batch."""
     kept = [c for c in df.columns if c != name]
@@ -351,7 +336,7 @@ def decode_documents(rows: DataFrame, path: str | None = None, ids_col: str = "i
     path = path or tokenizer_path()
 
     def make(batch: pa.RecordBatch) -> pa.Array:
-        text = codec(path).text
+        text = strings(path)
         column = batch.column(ids_col)
         return pa.array(
             [" ".join([text[i] for i in ids.values.tolist()]) if ids.is_valid else "" for ids in column],
