@@ -3,11 +3,20 @@
 The standard library's streaming parser turns a page into lines, one per block
 element.  Each line has its text, the number of tags it took, and whether it stands in
 a part of the page that is not content (a menu, a form, a comment, ...).  The ratio of
-characters to tags, zero for such parts, is smoothed along the page by a Gaussian;
-lines above a threshold (the spread of the smoothed ratios) form the core.  A region,
-a stretch of lines between parts that are no content, is selected if it has a core
-line or stands in an article element, and is then kept whole, so short paragraphs and
-headings inside it stay.  If the page names its article, regions outside are dropped.
+characters to tags, zero for such parts and for lines that are mostly links, is smoothed
+along the page by a Gaussian; lines above a threshold (the spread of the smoothed
+ratios) form the core.  Regions are selected by their core and are then kept whole, so
+short paragraphs and headings inside them stay.
+
+A region is a stretch of lines between parts that are no content.  On a page with an
+article or main element, it is the lines of one container (a div, an article, ...);
+sections and lists belong to the container around them.  These elements are a prior,
+they decide nothing alone: ratios in them weigh ``PRIOR`` times.  A region is selected
+if it holds a core line that reaches the threshold by its own ratio too, or the highest
+smoothed ratio.  If some region of an element is selected so, others in it are too if half
+of their lines are core, though only neighbours lift them, or if they hold nothing but
+headings and the next one is selected.  Mostly links: outside such an element one line is a menu,
+inside it two in a row are a link list, and a single one belongs to the text.
 
 Pages are mapped row by row in Arrow batches: no shuffle, memory of one batch.
 
@@ -21,6 +30,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -58,6 +68,8 @@ FRAMES = frozenset(
     "wrapper".split()
 )
 ROOTS = frozenset(["article", "main"])
+CONTAINERS = frozenset("article body center div main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY_BLOCK = frozenset(["p"])
 #: A tag that the end of the page cuts off.
 CUT_OFF = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")
@@ -65,17 +77,31 @@ _PARTS = re.compile(r"[^a-z0-9]+")
 
 SIGMA = 1.0
 RADIUS = 3
+#: Weight of ratios in an article or main element.
+PRIOR = 2.0
+
+
+class Line(NamedTuple):
+    text: str
+    tags: int
+    chrome: bool
+    root: int  # number of the outermost article or main element, 0 outside
+    link_chars: int
+    container: int
+    heading: bool
 
 
 class Lines(HTMLParser):
-    """Collects lines as (text, tags, is_chrome, in_article, link characters)."""
+    """Collects the lines of a page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, bool, int]] = []
+        self.lines: list[Line] = []
         self.stack: list[tuple[str, bool, bool]] = []  # tag, opens chrome, opens article
         self.open: dict[str, int] = {}
-        self.chrome = self.muted = self.article = self.links = 0
+        self.chrome = self.muted = self.article = self.links = self.headings = 0
+        self.containers = [0]  # numbers of the open ones
+        self.n_containers = self.root = 0
         self.parts: list[str] = []
         self.tags = self.link_chars = 0
 
@@ -83,8 +109,11 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             self.lines.append(
-                (text, self.tags, self.chrome > 0, self.article > 0, self.link_chars)
-            )
+                Line(
+                    text, self.tags, self.chrome > 0, self.root if self.article else 0,
+                    self.link_chars, self.containers[-1], self.headings > 0,
+                )
+            )
             self.tags = 0
         self.parts, self.link_chars = [], 0
 
@@ -109,6 +138,12 @@ class Lines(HTMLParser):
             self.muted += chrome
         self.article += root
         self.links += tag == "a"
+        self.headings += tag in HEADINGS
+        if tag in CONTAINERS:
+            self.n_containers += 1
+            self.containers.append(self.n_containers)
+            if root and self.article == 1:
+                self.root = self.n_containers
 
     def _is_chrome(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in DROPPED or (tag == "header" and not self.article):
@@ -156,6 +191,9 @@ class Lines(HTMLParser):
                 self.muted -= chrome
             self.article -= root
             self.links -= name == "a"
+            self.headings -= name in HEADINGS
+            if name in CONTAINERS:
+                self.containers.pop()
             if name == tag:
                 return
 
@@ -175,6 +213,14 @@ def smooth(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(ratios, kernel, "full")[RADIUS : RADIUS + len(ratios)] / weight
 
 
+def in_runs(flags: np.ndarray) -> np.ndarray:
+    """The flags that have a neighbour with one."""
+    beside = np.zeros(len(flags) + 2, dtype=bool)
+    beside[:-2] |= flags
+    beside[2:] |= flags
+    return flags & beside[1:-1]
+
+
 def main_text(html: str | None) -> str:
     """The selected lines of one page, joined by an empty line."""
     if not html:
@@ -186,20 +232,36 @@ def main_text(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    chrome = np.array([line[2] for line in lines])
-    article = np.array([line[3] for line in lines]) & ~chrome
-    # Outside an article, a line that is mostly links is a menu.
-    links = np.array([2 * line[4] > len(line[0]) for line in lines])
-    chrome |= links & ~article
-    ratios = np.array([0.0 if c else len(x[0]) / max(x[1], 1) for x, c in zip(lines, chrome, strict=True)])
+    chrome = np.array([line.chrome for line in lines])
+    root = np.where(chrome, 0, [line.root for line in lines])
+    article = root > 0
+    links = np.array([2 * line.link_chars > len(line.text) for line in lines]) & ~chrome
+    chrome |= links & (~article | in_runs(links & article))
+    skipped = chrome | links
+    ratios = np.array([0.0 if skip else len(x.text) / max(x.tags, 1) for x, skip in zip(lines, skipped, strict=True)])
+    ratios[article] *= PRIOR
     smoothed = smooth(ratios)
-    core = (smoothed >= min(smoothed.std(), smoothed.max())) & ~chrome & (smoothed > 0)
-    if article.any():
-        kept = article
-    else:
-        region = np.cumsum(chrome)
+    threshold = min(smoothed.std(), smoothed.max())
+    core = (smoothed >= threshold) & ~chrome & (smoothed > 0)
+    region = np.cumsum(chrome)
+    if not article.any():
         kept = ~chrome & np.isin(region, region[core])
-    return "\n\n".join(line[0] for line, keep in zip(lines, kept, strict=True) if keep)
+    else:
+        # A part that is no content does not cut a container of an article in two.
+        keys = np.stack([[line.container for line in lines], np.where(article, -1, region)], axis=1)
+        region = np.unique(keys, axis=0, return_inverse=True)[1].ravel()
+        own = core & ((ratios >= threshold) | (smoothed == smoothed[~chrome].max(initial=0.0)))
+        selected = np.bincount(region, own) > 0
+        inside = article & ~chrome & np.isin(root, root[own & article])
+        lines_of, heads_of = np.bincount(region, ~chrome), np.bincount(region, ~chrome & [x.heading for x in lines])
+        selected |= (2 * np.bincount(region, core & inside) >= lines_of) & (np.bincount(region, inside) > 0)
+        after = -1
+        for k in np.flatnonzero(inside)[::-1]:  # from the end, for several in a row
+            r = region[k]
+            selected[r] |= after >= 0 and bool(selected[after]) and heads_of[r] == lines_of[r]
+            after = r
+        kept = ~chrome & selected[region]
+    return "\n\n".join(line.text for line, keep in zip(lines, kept, strict=True) if keep)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

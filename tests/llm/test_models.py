@@ -146,3 +146,33 @@ def test_main_text(page, text):
 
 def test_smoothing_keeps_a_constant():
     assert html_text.smooth(np.full(9, 3.0)) == pytest.approx(np.full(9, 3.0))
+
+
+LONG = "A paragraph of the text that goes on for quite a while, so that it has many characters for each tag."
+TEXT = [f"{LONG} {k}" for k in range(4)]
+
+
+def paragraphs(*texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # The text in a plain div beside the teaser of another article.
+        (f"<div><h1>T</h1>{paragraphs(*TEXT)}</div><div><article><h3><a href=/>Other</a></h3><p>Short</p></article></div>",
+         ["T", *TEXT]),
+        # A list of links, a notice and a teaser in the main element, without any mark.
+        (f"<main><h1>T</h1>{paragraphs(*TEXT)}<ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul></main>", ["T", *TEXT]),
+        (f"<main><div><p>Soon</p><p>We move</p><p>in May</p></div><div>{paragraphs(*TEXT)}</div></main>", TEXT),
+        (f"<main><div>{paragraphs(*TEXT)}</div><div><h3>Next</h3><p>Some more</p><p>by us</p><a href=/c>Read</a></div></main>",
+         TEXT),
+        # Short parts of an article, single links among them, stay.
+        (f"<article>{paragraphs(*TEXT)}<section><h2>End</h2><p>Bye.</p><p>See</p><p><a href=/>this report</a></p></section></article>",
+         [*TEXT, "End", "Bye.", "See", "this report"]),
+        (f"<article><div><h1>T</h1></div><div>{paragraphs(*TEXT)}</div></article>",
+         ["T", *TEXT]),
+    ],
+)
+def test_ratios_decide_on_pages_with_an_article(page, text):
+    assert html_text.main_text(page).split("\n\n") == text
