@@ -62,11 +62,15 @@ MARKS = frozenset(
 )
 #: Marks of a page's head part; inside an article they may hold its title.
 HEAD_MARKS = frozenset("header masthead".split())
-#: Next to these, a mark describes a frame around the content ("with-sidebar").
-FRAMES = frozenset(
-    "article body container content has layout main no page post row site with without wrap "
-    "wrapper".split()
-)
+#: After these, a mark describes a frame around the content ("with-sidebar").
+NEGATED = frozenset("has no with without".split())
+#: So it does between one of these and a word of ``WRAPS`` ("content-sidebar-wrap"), and
+#: a sidebar or header does after one of these alone ("main-sidebar", "post-header").
+LAYOUT = frozenset("article body content layout main page post site".split())
+WRAPS = frozenset("container layout row wrap wrapper".split())
+COLUMNS = frozenset("header masthead sidebar".split())
+#: A mark and a state tell how a frame is set ("comments-open").
+STATES = frozenset("closed disabled enabled none off on open".split())
 ROOTS = frozenset(["article", "main"])
 CONTAINERS = frozenset("article body center div main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -81,6 +85,22 @@ RADIUS = 3
 PRIOR = 2.0
 
 
+def is_mark(name: str, marks: frozenset[str]) -> bool:
+    """Whether one class, id or role says that its element is no content.
+
+    A mark counts wherever it stands ("ad-container", "comment-body"), unless the
+    words around it make the name one of a frame.
+    """
+    words = [w for w in _PARTS.split(name) if w]
+    at = next((k for k, w in enumerate(words) if w in marks), None)
+    if at is None:
+        return False
+    before = words[:at]
+    if NEGATED & set(before) or words[-1] in STATES:
+        return False
+    return not (LAYOUT & set(before) and (words[at] in COLUMNS or words[-1] in WRAPS))
+
+
 class Line(NamedTuple):
     text: str
     tags: int
@@ -152,11 +172,9 @@ class Lines(HTMLParser):
             return False
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
-                words = set(_PARTS.split(value.lower()))
-                if words & MARKS and not words & FRAMES:
-                    return True
-                if words & HEAD_MARKS and not self.article and not words & FRAMES:
-                    return True
+                for word in value.lower().split():
+                    if is_mark(word, MARKS) or (not self.article and is_mark(word, HEAD_MARKS)):
+                        return True
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
         return False

@@ -176,3 +176,23 @@ def paragraphs(*texts):
 )
 def test_ratios_decide_on_pages_with_an_article(page, text):
     assert html_text.main_text(page).split("\n\n") == text
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["ad-container", "comment-body", "comment-content", "reply-content", "sidebar-content", "cookie-container",
+     "newsletter-wrapper", "promo-row", "nav-wrapper", "container comments", "post-comments", "main-nav", "ad_row"],
+)
+def test_names_that_begin_with_a_mark_are_no_content(name):
+    page = f"<article>{paragraphs(*TEXT)}<div class='{name}'>{paragraphs(LONG)}</div></article>"
+    assert html_text.main_text(page).split("\n\n") == TEXT
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["with-sidebar", "has-ads", "no-comments", "layout-with-sidebar", "main-sidebar", "content-sidebar-wrap",
+     "post comments-open", "without_nav"],
+)
+def test_names_of_frames_are_content(name):
+    page = f"<article><div class='{name}'>{paragraphs(*TEXT)}</div></article>"
+    assert html_text.main_text(page).split("\n\n") == TEXT
