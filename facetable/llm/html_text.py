@@ -18,6 +18,12 @@ of their lines are core, though only neighbours lift them, or if they hold nothi
 headings and the next one is selected.  Mostly links: outside such an element one line is a menu,
 inside it two in a row are a link list, and a single one belongs to the text.
 
+Marks in an id are weaker than in a class or role, as generators make ids of heading
+texts ("related-work"): at a heading they say nothing, and in an article they only make
+a suspect, which goes if it has no core line, is mostly links, or has neither a heading
+nor a line of ``PROSE`` characters per tag.  So do classes that are phrases
+("notice-and-consent").
+
 Pages are mapped row by row in Arrow batches: no shuffle, memory of one batch.
 
 Edge cases: NULL and empty html give an empty text, and so does a page with menus
@@ -69,6 +75,8 @@ NEGATED = frozenset("has no with without".split())
 LAYOUT = frozenset("article body content layout main page post site".split())
 WRAPS = frozenset("container layout row wrap wrapper".split())
 COLUMNS = frozenset("header masthead sidebar".split())
+#: Words of phrases, as in a heading.
+PHRASES = frozenset("a an and for in of on or the to vs".split())
 #: A mark and a state tell how a frame is set ("comments-open").
 STATES = frozenset("closed disabled enabled none off on open".split())
 ROOTS = frozenset(["article", "main"])
@@ -81,6 +89,8 @@ _PARTS = re.compile(r"[^a-z0-9]+")
 
 SIGMA = 1.0
 RADIUS = 3
+#: Characters per tag of a line that reads as prose.
+PROSE = 15.0
 #: Weight of ratios in an article or main element.
 PRIOR = 2.0
 
@@ -109,6 +119,7 @@ class Line(NamedTuple):
     link_chars: int
     container: int
     heading: bool
+    suspects: tuple[int, ...]  # numbers of the open elements with a weak mark
 
 
 class Lines(HTMLParser):
@@ -117,11 +128,12 @@ class Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, opens chrome, opens article
+        self.stack: list[tuple[str, bool, bool, bool]] = []  # tag, opens chrome, article, suspect
         self.open: dict[str, int] = {}
         self.chrome = self.muted = self.article = self.links = self.headings = 0
         self.containers = [0]  # numbers of the open ones
-        self.n_containers = self.root = 0
+        self.suspects: tuple[int, ...] = ()
+        self.n_containers = self.n_suspects = self.root = 0
         self.parts: list[str] = []
         self.tags = self.link_chars = 0
 
@@ -131,7 +143,7 @@ class Lines(HTMLParser):
             self.lines.append(
                 Line(
                     text, self.tags, self.chrome > 0, self.root if self.article else 0,
-                    self.link_chars, self.containers[-1], self.headings > 0,
+                    self.link_chars, self.containers[-1], self.headings > 0, self.suspects,
                 )
             )
             self.tags = 0
@@ -148,8 +160,11 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         root = tag in ROOTS
-        chrome = self._is_chrome(tag, attrs)
-        self.stack.append((tag, chrome, root))
+        chrome, suspect = self._is_chrome(tag, attrs)
+        if suspect:
+            self.n_suspects += 1
+            self.suspects += (self.n_suspects,)
+        self.stack.append((tag, chrome, root, suspect))
         self.open[tag] = self.open.get(tag, 0) + 1
         # A block of this kind is a line of its own; within a line, text is left out.
         if tag in BLOCKS:
@@ -165,19 +180,26 @@ class Lines(HTMLParser):
             if root and self.article == 1:
                 self.root = self.n_containers
 
-    def _is_chrome(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _is_chrome(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+        """Whether an element is no content for certain, and whether it is a suspect."""
         if tag in DROPPED or (tag == "header" and not self.article):
-            return True
+            return True, False
         if tag in ROOTS or tag in ("html", "body"):
-            return False
+            return False, False
+        suspect = False
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
+                if name == "id" and tag in HEADINGS:
+                    continue
                 for word in value.lower().split():
                     if is_mark(word, MARKS) or (not self.article and is_mark(word, HEAD_MARKS)):
-                        return True
+                        weak = name == "id" or PHRASES & set(_PARTS.split(word))
+                        if not (self.article and weak):
+                            return True, False
+                        suspect |= tag in BLOCKS
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
-        return False
+                return True, False
+        return False, suspect
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -196,12 +218,14 @@ class Lines(HTMLParser):
         if self.stack[-1][0] != tag:
             # A paragraph does not reach out of the block that holds it.
             at = next(i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag)
-            if tag in CLOSED_BY_BLOCK and any(t in BLOCKS for t, _, _ in self.stack[at + 1 :]):
+            if tag in CLOSED_BY_BLOCK and any(t in BLOCKS for t, *_ in self.stack[at + 1 :]):
                 return
         while True:
-            name, chrome, root = self.stack.pop()
-            if chrome and name in BLOCKS:
+            name, chrome, root, suspect = self.stack.pop()
+            if (chrome or suspect) and name in BLOCKS:
                 self.end_line()
+            if suspect:
+                self.suspects = self.suspects[:-1]
             self.open[name] -= 1
             if name in BLOCKS:
                 self.chrome -= chrome
@@ -239,6 +263,44 @@ def in_runs(flags: np.ndarray) -> np.ndarray:
     return flags & beside[1:-1]
 
 
+class Measured(NamedTuple):
+    chrome: np.ndarray  # with lines of menus
+    root: np.ndarray
+    ratios: np.ndarray
+    smoothed: np.ndarray
+    threshold: float
+    core: np.ndarray
+
+
+def measure(lines: list[Line], chrome: np.ndarray) -> Measured:
+    root = np.where(chrome, 0, [line.root for line in lines])
+    article = root > 0
+    links = np.array([2 * line.link_chars > len(line.text) for line in lines]) & ~chrome
+    chrome = chrome | (links & (~article | in_runs(links & article)))
+    skipped = chrome | links
+    ratios = np.array([0.0 if skip else len(x.text) / max(x.tags, 1) for x, skip in zip(lines, skipped, strict=True)])
+    ratios[article] *= PRIOR
+    smoothed = smooth(ratios)
+    threshold = min(smoothed.std(), smoothed.max())
+    core = (smoothed >= threshold) & ~chrome & (smoothed > 0)
+    return Measured(chrome, root, ratios, smoothed, threshold, core)
+
+
+def convicted(lines: list[Line], page: Measured) -> np.ndarray:
+    """The lines of suspects that do not look like text."""
+    inside: dict[int, list[int]] = {}
+    for k, line in enumerate(lines):
+        for suspect in line.suspects:
+            inside.setdefault(suspect, []).append(k)
+    out = np.zeros(len(lines), dtype=bool)
+    for at in inside.values():
+        mine = [lines[k] for k in at]
+        prose = any(x.heading or len(x.text) >= PROSE * x.tags for x in mine)
+        linked = 2 * sum(x.link_chars for x in mine) > sum(len(x.text) for x in mine)
+        out[at] |= linked or not prose or not page.core[at].any()
+    return out
+
+
 def main_text(html: str | None) -> str:
     """The selected lines of one page, joined by an empty line."""
     if not html:
@@ -250,17 +312,12 @@ def main_text(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    chrome = np.array([line.chrome for line in lines])
-    root = np.where(chrome, 0, [line.root for line in lines])
+    marked = np.array([line.chrome for line in lines])
+    page = measure(lines, marked)
+    if any(line.suspects for line in lines):
+        page = measure(lines, marked | convicted(lines, page))
+    chrome, root, ratios, smoothed, threshold, core = page
     article = root > 0
-    links = np.array([2 * line.link_chars > len(line.text) for line in lines]) & ~chrome
-    chrome |= links & (~article | in_runs(links & article))
-    skipped = chrome | links
-    ratios = np.array([0.0 if skip else len(x.text) / max(x.tags, 1) for x, skip in zip(lines, skipped, strict=True)])
-    ratios[article] *= PRIOR
-    smoothed = smooth(ratios)
-    threshold = min(smoothed.std(), smoothed.max())
-    core = (smoothed >= threshold) & ~chrome & (smoothed > 0)
     region = np.cumsum(chrome)
     if not article.any():
         kept = ~chrome & np.isin(region, region[core])

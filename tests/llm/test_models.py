@@ -196,3 +196,32 @@ def test_names_that_begin_with_a_mark_are_no_content(name):
 def test_names_of_frames_are_content(name):
     page = f"<article><div class='{name}'>{paragraphs(*TEXT)}</div></article>"
     assert html_text.main_text(page).split("\n\n") == TEXT
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        f"<section id='related-work'><h2>Related work</h2>{paragraphs(LONG)}</section>",
+        f"<section id='tags'>{paragraphs(LONG)}</section>",
+        f"<h2 id='search'>Search</h2>{paragraphs(LONG)}",
+        f"<h2 id='comments'>Comments</h2>{paragraphs('Few.')}",
+        f"<div class='notice-and-consent'><h2>Notice and consent</h2>{paragraphs(LONG)}</div>",
+        f"<p>Of <span id='search'>search</span> {LONG}</p>",
+    ],
+)
+def test_ids_made_of_headings_drop_nothing(part):
+    page = f"<article>{paragraphs(*TEXT)}{part}{paragraphs(LONG)}</article>"
+    parts = [" ".join(re.sub("<[^>]*>", " ", x).split()) for x in re.split("</(?:p|h2)>", part)]
+    assert html_text.main_text(page).split("\n\n") == [*TEXT, *filter(None, parts), LONG]
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='comments'><p>first!</p><p>me too</p></section>",
+        "<section id='share'><h2>Share</h2><p><a href=/>by mail or in any other way</a></p></section>",
+        f"<section id='comments' class='comments'><h2>Comments</h2>{paragraphs(LONG)}</section>",
+    ],
+)
+def test_ids_with_another_sign_drop_their_part(part):
+    assert html_text.main_text(f"<article>{paragraphs(*TEXT)}{part}</article>").split("\n\n") == TEXT
