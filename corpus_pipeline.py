@@ -38,7 +38,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(docs.select(*COLUMNS), load(spark, sf_dir, "benchmark"))
+    benchmark = load(spark, sf_dir, "benchmark")
+    return decontaminate.decontaminate(docs.select(*COLUMNS), benchmark, short_anywhere=False)
 
 
 def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

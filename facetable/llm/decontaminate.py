@@ -20,8 +20,10 @@ the function; each block is one pass over the documents, so any number of items
 The passes are chained row by row: nothing is shuffled.
 
 Edge cases: a NULL or empty text, and one without words, is clean; items without words
-are left out; an item of fewer than five words is one shingle, as is such a text.  Equal
-items are all reported.  Repeated rows get equal answers.  Other columns pass through,
+are left out; an item of fewer than five words is one shingle, as is such a text.  With
+``short_anywhere`` it is found wherever its words stand; without, only in a text of as
+many words, so "Yes" does not mark every text with that word.  ``short_items`` lists
+them.  Equal items are all reported.  Repeated rows get equal answers.  Other columns pass through,
 those named like a result are replaced.  A window at the end of a short text may be
 shorter than the item.
 """
@@ -38,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetable.llm.shingles import LOWER, SIZE, mix, window_hashes, word_hashes, words_at
+from facetable.llm.tables import words_of
 
 THRESHOLD = 0.75
 BITS = 128
@@ -127,12 +130,12 @@ class Items:
             )
             self.index[key] = BlockIndex(prints), np.array(members)
 
-    def leaks(self, text: str | None) -> dict[int, tuple[float, int]]:
+    def leaks(self, text: str | None, short_anywhere: bool = True) -> dict[int, tuple[float, int]]:
         """Item number -> best similarity and the first word of that window."""
         words = normal_words(text)
         best: dict[int, tuple[float, int]] = {}
         for size in self.sizes:
-            if len(words) >= size:
+            if len(words) == size or (len(words) > size and (short_anywhere or size == SIZE)):
                 self._leaks(window_hashes(words, size), size, best)
         return best
 
@@ -194,7 +197,7 @@ def blocks(benchmark: DataFrame) -> Iterator[Items]:
     yield Items(rows)
 
 
-def _with_leaks(docs: DataFrame, items: Items, text_col: str) -> DataFrame:
+def _with_leaks(docs: DataFrame, items: Items, text_col: str, short_anywhere: bool) -> DataFrame:
     kept = [c for c in docs.columns if c != "leaks"]
     leak = T.StructType(
         [
@@ -210,7 +213,7 @@ def _with_leaks(docs: DataFrame, items: Items, text_col: str) -> DataFrame:
         for batch in batches:
             found = []
             for text in batch.column(text_col):
-                leaks = items.leaks(text.as_py())
+                leaks = items.leaks(text.as_py(), short_anywhere)
                 found.append(
                     [
                         {"item_id": items.ids[k], "similarity": s, "word": at}
@@ -223,19 +226,33 @@ def _with_leaks(docs: DataFrame, items: Items, text_col: str) -> DataFrame:
     return docs.mapInArrow(over, schema)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", short_anywhere: bool = True
+) -> DataFrame:
     """``docs`` with ``leaks``: the items each one holds, with similarity and place."""
     found = docs
     for k, items in enumerate(blocks(benchmark)):
         if k == 0:
-            found = _with_leaks(docs, items, text_col)
+            found = _with_leaks(docs, items, text_col, short_anywhere)
         elif items.ids:  # a pass over the rows with the answers so far
-            more = _with_leaks(found.withColumnRenamed("leaks", "_before"), items, text_col)
+            before = found.withColumnRenamed("leaks", "_before")
+            more = _with_leaks(before, items, text_col, short_anywhere)
             found = more.withColumn("leaks", F.array_sort(F.concat("_before", "leaks"))).drop("_before")
     return found
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", short_anywhere: bool = True
+) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
     columns = [c for c in docs.columns if c != "leaks"]
-    return find_leaks(docs.select(*columns), benchmark, text_col).where(F.size("leaks") == 0).select(*columns)
+    found = find_leaks(docs.select(*columns), benchmark, text_col, short_anywhere)
+    return found.where(F.size("leaks") == 0).select(*columns)
+
+
+def short_items(benchmark: DataFrame) -> DataFrame:
+    """The items of fewer than five words, with their number of words."""
+    words = words_of(F.translate("text", PUNCTUATION.decode(), ""))
+    return benchmark.select("item_id", "text", F.size(words).alias("n_words")).where(
+        (F.col("n_words") > 0) & (F.col("n_words") < SIZE)
+    )

@@ -15,7 +15,7 @@ from facetable.llm.tables import held_out, load
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.find_leaks(docs, load(spark, sf_dir, "benchmark"))
+    found = decontaminate.find_leaks(docs, load(spark, sf_dir, "benchmark"), short_anywhere=False)
     return found.select(
         "doc_id",
         (F.size("leaks") > 0).alias("contaminated"),

@@ -7,6 +7,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from facetable.llm import (
     bpe,
     decontaminate,
@@ -227,6 +228,22 @@ def test_leaks_in_blocks(spark, data, monkeypatch):
     assert spark_bag(decontaminate.find_leaks(docs, bench)) == whole
 
 
+def test_short_items_match_only_whole_texts(spark, tmp_path):
+    items = [(1, "Yes"), (2, "New York!"), (3, "one two three four five six"), (4, "- "), (5, None)]
+    texts = ["yes, it is", "Yes.", "we like New York a lot", "new york", "x one two three four five six x", "", None]
+    docs = [(k, t, "en", "a", len(t or "")) for k, t in enumerate(texts)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op1_decontaminate"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.item_ids for r in got} == {0: [], 1: [1], 2: [], 3: [2], 4: [3], 5: [], 6: []}
+    left = corpus_pipeline.benchmark_stage(spark, frame, str(tmp_path)).collect()
+    assert {r.doc_id for r in left} == {0, 2, 5, 6}
+    short = decontaminate.short_items(bench).select("item_id", "n_words").collect()
+    assert sorted(map(tuple, short)) == [(1, 1), (2, 2)]
+
+
 def test_block_index_finds_all_within_the_radius():
     import numpy as np
 
