@@ -1,19 +1,20 @@
-"""Benchmark decontamination by SimHash of item-sized windows.
+"""Benchmark decontamination by shared shingles and SimHash of item-sized windows.
 
 A document is contaminated by an item if some window of as many words as the item has
 a weighted Jaccard similarity of 0.75 or more with it; shingles of five words are
 weighted by how often they occur.  Words are compared without ASCII punctuation and
 with A-Z as a-z, so quotes and full stops around a passage do not hide it.
 
-Windows are found in three steps, none of which loses one:
+Windows are found in three steps.  The first carries the search and loses none:
 
-* only windows that hold enough shingles of an item can reach the similarity, so
-  documents without them are left after one look-up per shingle;
+* an exact index of the shingles of all items.  Only windows that hold enough shingles
+  of an item can reach the similarity, so for each item it gives the windows to look at;
 * these windows get a SimHash of 128 bits.  Fingerprints of items with as many shingles
   are indexed in ``RADIUS + 1`` blocks of bits: two fingerprints within the radius
-  agree in at least one block, so looking up each block finds all of them;
-* the exact weighted similarity decides.  A pair at exactly 0.75 differs in 22 bits
-  on average, with a spread of 4.3, so ``RADIUS`` leaves out 1 in 100,000 of those.
+  agree in at least one block.  The look-up adds items of that size that are near, and
+  takes away none;
+* the exact weighted similarity decides, for the item of the first step at each of its
+  windows, and for those that the second step adds.
 
 Items are read to where the query is planned in blocks of bounded size and travel with
 the function; each block is one pass over the documents, so any number of items works.
@@ -168,10 +169,11 @@ class Items:
                 sums = sums_of_bits(shingles)
             index, members = self.index[(size, n)]
             for start, row in zip(starts.tolist(), fingerprints(sums, starts, window), strict=True):
-                if (n, start) in tried:
-                    continue
-                tried.add((n, start))
-                for found in members[index.within(row)].tolist():
+                near = {k}
+                if (n, start) not in tried:
+                    tried.add((n, start))
+                    near.update(members[index.within(row)].tolist())
+                for found in sorted(near):
                     s = self._similarity(found, shingles[start : start + window])
                     if s >= THRESHOLD and s > best.get(found, (0.0, 0))[0]:
                         best[found] = (s, start)

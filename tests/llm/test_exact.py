@@ -244,6 +244,16 @@ def test_short_items_match_only_whole_texts(spark, tmp_path):
     assert sorted(map(tuple, short)) == [(1, 1), (2, 2)]
 
 
+def test_no_leak_depends_on_the_radius(monkeypatch):
+    monkeypatch.setattr(decontaminate, "RADIUS", 0)
+    passage = " ".join(f"w{k}" for k in range(60))
+    items = decontaminate.Items([(7, passage), (8, f"{passage} end"), (9, passage)])
+    text = f"before {passage.replace('w30', 'other')} behind"
+    assert {items.ids[k] for k in items.leaks(text)} == {7, 8, 9} == brute.leaks(
+        text, [(7, passage), (8, f"{passage} end"), (9, passage)]
+    )
+
+
 def test_block_index_finds_all_within_the_radius():
     import numpy as np
 
