@@ -12,7 +12,7 @@ Each shard is cut into bins of consecutive slots, so no task ever holds a shard.
 A block is a hash of a row's whole content, not a physical partition: a lost and
 recomputed task finds the same rows in the same block.  Only the counts per block
 reach the driver, and the matrix has ``blocks * shards * bins`` entries whatever
-the data.  A hot source or a group of equal texts spreads over all blocks, because
+the data.  The draws have the same law at any number of rows.  A hot source or a group of equal texts spreads over all blocks, because
 the ids differ; rows equal in every column share a block and are exchangeable, so
 their order among themselves changes no result.
 
@@ -52,8 +52,8 @@ def draw_matrix(blocks: np.ndarray, bins: np.ndarray, seed: int) -> np.ndarray:
 
 
 def _draw(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """One multivariate hypergeometric row by halves: numpy's own draw takes at most
-    10^9 rows in all, and halving keeps each single draw within 64-bit counts."""
+    """One multivariate hypergeometric row by halves; numpy draws it in one call only
+    for at most 10^9 rows in all."""
     if len(left) == 1:
         return np.array([n], dtype=np.int64)
     half = len(left) // 2
@@ -69,11 +69,28 @@ def _hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> in
         return n
     if max(good, bad) < 10**9:
         return int(rng.hypergeometric(good, bad, n))
-    # Beyond numpy's range the normal law is exact to far less than one row in a million.
+    return _inverted(rng, good, bad, n)
+
+
+def _inverted(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """The same law for populations of any size, by inversion around the mode.
+
+    Probabilities follow from their neighbours by exact ratios, out to where they are
+    below the resolution of a double.
+    """
     total = good + bad
     mean = n * good / total
     spread = np.sqrt(max(mean * (bad / total) * ((total - n) / max(total - 1, 1)), 0.0))
-    return int(np.clip(round(rng.normal(mean, spread)), max(0, n - bad), min(good, n)))
+    low, high = max(0, n - bad), min(good, n)
+    mode = min(max((good + 1) * (n + 1) // (total + 2), low), high)
+    reach = int(12 * spread) + 40
+    first, last = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(first, last, dtype=np.float64)
+    ratio = (good - k) / (k + 1) * ((n - k) / (bad - n + k + 1))  # of k + 1 to k
+    up = np.cumprod(ratio[mode - first :])
+    down = np.cumprod(1 / ratio[: mode - first][::-1])[::-1]
+    summed = np.cumsum(np.concatenate([down, [1.0], up]))
+    return min(first + int(np.searchsorted(summed, rng.random() * summed[-1], "right")), last)
 
 
 def shuffle_into_shards(

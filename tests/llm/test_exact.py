@@ -310,6 +310,37 @@ def test_matrix_sums():
     assert (matrix.sum(0) == bins).all() and (matrix.sum(1) == blocks).all() and (matrix >= 0).all()
 
 
+def test_small_draws_from_large_populations_keep_the_law():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    draws = [sharding._hypergeometric(rng, 1_000_000, 5_000_000_000, 1000) for _ in range(5000)]
+    assert abs(np.mean(np.array(draws) == 0) - 0.8187) < 0.025  # a rounded normal gives 0.75
+
+
+@pytest.mark.parametrize(("good", "bad", "n"), [(7, 5, 6), (3, 40, 20), (40, 3, 41), (500, 900, 300)])
+def test_both_ways_to_draw_have_one_law(good, bad, n):
+    from math import comb
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    got = np.bincount([sharding._inverted(rng, good, bad, n) for _ in range(20_000)], minlength=n + 1)
+    law = np.array([comb(good, k) * comb(bad, n - k) / comb(good + bad, n) for k in range(n + 1)])
+    assert got.sum() == 20_000 and not got[law == 0].any()
+    assert np.abs(np.cumsum(got) / 20_000 - np.cumsum(law)).max() < 0.015
+
+
+def test_large_draws_have_the_mean_and_spread_of_the_law():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    good, bad, n = 3_000_000_000, 6_000_000_000, 900_000_000
+    draws = np.array([sharding._hypergeometric(rng, good, bad, n) for _ in range(400)], dtype=float)
+    spread = np.sqrt(n / 3 * 2 / 3 * 0.9)
+    assert abs(draws.mean() - n / 3) < 5 * spread / 20 and 0.8 < draws.std() / spread < 1.2
+
+
 # Tokens
 
 
