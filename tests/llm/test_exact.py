@@ -195,6 +195,30 @@ def test_added_spans(spark, model):
     assert {r[0]: r[1] for r in got.select("doc_id", pii.digest("spans")).collect()} == {1: "phone:5:19", 2: "", 3: ""}
 
 
+def test_thresholds_rest_on_spans_that_can_be_added(spark, monkeypatch):
+    """A bounded number of spans reaches the driver, and those beside base spans are no evidence."""
+    calls = []
+    plain = pii.calibrated
+    monkeypatch.setattr(pii, "SPANS", 30)
+    monkeypatch.setattr(pii, "calibrated", lambda *a: calls.append(a) or plain(*a))
+    # One very long text, and many with base spans.
+    docs = [(0, " ".join(f"{k % 900 + 100}-{k % 700 + 200}-{k + 1000}" for k in range(3000)))]
+    docs += [(k, f"mail me{k}@host.org or +1 (312) 555-{k + 1000}") for k in range(1, 200)]
+    pii.fit(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    kinds, y, score, use = calls[0]
+    assert all((kinds == k).sum() <= 2 * pii.SPANS for k in range(4))
+    assert use.any() and not use[kinds == pii.KINDS.index("email")].all()
+
+
+def test_base_spans_do_not_loosen_a_threshold():
+    import numpy as np
+
+    kinds, score = np.zeros(110), np.array([0.9] * 100 + [0.7] * 10)
+    y, free = np.array([1.0] * 100 + [0.0] * 10), np.array([False] * 100 + [True] * 10)
+    assert pii.calibrated(kinds, y, score, free) == [2.0] * 4
+    assert pii.calibrated(kinds, y, score, free | True)[0] > 0.7
+
+
 # Benchmark passages
 
 
