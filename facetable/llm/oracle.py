@@ -84,5 +84,41 @@ WITH {MEASURED}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND NOT method_failed AS kept
 FROM judged
+""",
+    "op12_fill_middle": r"""
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS h,
+        regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS unit
+    FROM documents
+),
+drawn AS (
+    SELECT doc_id, text, unit, CAST(len(unit) AS BIGINT) AS n,
+        [CAST('0x' || substr(h, 1 + 8 * k, 8) AS UBIGINT) for k in [0, 1, 2, 3]] AS h
+    FROM units
+),
+formed AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS p, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS m,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR h[3] % 100 >= 90 THEN 'plain'
+            WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+),
+parts AS (
+    SELECT *, array_to_string(unit[:p], '') AS a, array_to_string(unit[p + 1:m], '') AS b,
+        array_to_string(unit[m + 1:], '') AS c
+    FROM formed
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(b) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b
+        ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+""",
+    "op13_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """,
 }

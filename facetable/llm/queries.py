@@ -9,7 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetable.llm import bpe, decontaminate, html_text, langid, minhash, pii, quality_model, quality_rules, sharding, suffix_dedup
+from facetable.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    fill_middle,
+    html_text,
+    langid,
+    minhash,
+    pii,
+    quality_model,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    token_align,
+)
 from facetable.llm.tables import held_out, load
 
 
@@ -104,6 +118,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return fill_middle.invert(fill_middle.transform(docs)).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact_dedup.mark(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality_classifier": op2_quality_classifier,
@@ -115,4 +146,7 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
+    "op11_token_align": op11_token_align,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_exact_dedup": op13_exact_dedup,
 }

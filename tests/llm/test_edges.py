@@ -7,6 +7,8 @@ import corpus_pipeline
 from facetable.llm import (
     bpe,
     decontaminate,
+    exact_dedup,
+    fill_middle,
     html_text,
     langid,
     minhash,
@@ -15,6 +17,7 @@ from facetable.llm import (
     quality_rules,
     sharding,
     suffix_dedup,
+    token_align,
 )
 
 ROWS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -52,12 +55,15 @@ def operators(spark, data):
         "spans": lambda d: pii.find(d, model),
         "redact": lambda d: pii.redact(d, model),
         "tokens": lambda d: bpe.decode_documents(bpe.encode_documents(d)),
+        "aligned": token_align.align,
+        "moved": lambda d: fill_middle.invert(fill_middle.transform(d)),
+        "same": exact_dedup.mark,
     }
 
 
 NAMES = (
     "leaks", "quality", "language", "html", "rules", "repeats", "shards", "near", "deduplicate", "spans",
-    "redact", "tokens",
+    "redact", "tokens", "aligned", "moved", "same",
 )
 
 
@@ -87,7 +93,8 @@ CLASHES = (
     "score", "predicted", "held_out", "lang_pred", "leaks", "ids", "decoded", "spans", "base_spans", "shard",
     "slot", "kept", "n_words", "failed", "h1", "bands", "label", "task", "side", "route", "kind", "payload",
     "wanted", "shingles", "class_id", "component_id", "a", "b", "id", "hub", "item_id", "key", "block", "row", "text_", "words", "lines", "base", "all", "at", "bin", "ends",
-    "n_bytes", "band", "first", "c", "h", "y", "x",
+    "n_bytes", "band", "first", "c", "h", "y", "x", "slice", "place", "radix", "head", "body", "t", "c0", "c1", "n_best", "n", "form", "output",
+    "restored", "run", "digest", "bytes", "check", "keep", "rows", "keep_id", "group_size", "text_sha256",
 )
 
 
