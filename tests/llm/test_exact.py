@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -374,6 +375,11 @@ def library():
     return Tokenizer.from_file(bpe.tokenizer_path())
 
 
+def encoded(codec, texts):
+    ids, counts = codec.encode_batch(texts)
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
 ODD_TEXTS = [
     "", "a" * 5000, "Hello <|endoftext|>WÖRLD ΑΣ ß İ don't it'S they'LL \u0085 \x1c x　y 你好 🙂🙂 é é ½ ②",
     "!" * 3000, "<|startoftext|><|endoftext|>", "xY9" * 800, "the cat's </w> w>", "naïve <|endoftext", "İΣ", "a\x1cb \x1f\x1e, c",
@@ -387,20 +393,48 @@ def test_tokens_equal_the_library():
     texts += ["".join(t.replace("</w>", "") for t in rng.sample(list(codec.vocab), 3)) for _ in range(2000)]
     lib = library()
     expected = lib.encode_batch(texts, add_special_tokens=False)
-    got = codec.encode_batch(texts)
-    assert [g.tolist() for g in got] == [e.ids for e in expected]
+    assert encoded(codec, texts) == [e.ids for e in expected]
     # The pairs that are told apart are those that the exact merging leaves apart.
     pairs = [(a, b) for e in expected[:3000] for a, b in zip(e.ids, e.ids[1:], strict=False)]
     assert pairs
 
 
-def test_long_words_merge_alike():
-    codec = bpe.codec(bpe.tokenizer_path())
+def test_words_of_any_length_are_proposed_and_merged_alike():
+    codec, lib = bpe.codec(bpe.tokenizer_path()), library()
     rng = random.Random(5)
     letters = [codec.vocab[c] for c in "etaoins"]
-    for n in (2, 30, 199):
-        word = [rng.choice(letters) for _ in range(n)]
-        assert codec.merge(word) == codec._merge_long(word)
+    for n in (1, 2, 30, 199):
+        words = np.array([[rng.choice(letters) for _ in range(n)] for _ in range(20)])
+        rows = codec.merge(words)
+        assert [r[r >= 0].tolist() for r in rows] == [codec.merge_long(w.tolist()) for w in words]
+    texts = ["".join(rng.choice(kinds) for _ in range(n)) for n in (63, 64, 65, 1500, 40000) for kinds in ("ab", "etaoinsh", "a")]
+    assert encoded(codec, texts) == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_long_words_are_speculated(monkeypatch):
+    """Verification alone decides who is merged: a word of single letters that no merge joins
+    is not, however long."""
+    codec = bpe.Codec(bpe.tokenizer_path())
+    text = "\u0e33" * 3000
+    proposed, counts = codec.propose(
+        np.append(np.frombuffer(text.encode(), np.uint8), bpe.LAST).astype(np.int64), np.array([0])
+    )
+    assert counts.tolist() == [len(proposed)]
+    called = []
+    exact = codec.merge_long
+    monkeypatch.setattr(codec, "merge_long", lambda word: called.append(len(word)) or exact(word))
+    want = library().encode(text, add_special_tokens=False).ids
+    assert encoded(codec, [text]) == [want] and bool(called) == (proposed.tolist() != want)
+
+
+def test_every_code_point():
+    """Tables of this Python where it knows a letter, those of the library elsewhere."""
+    codec, lib = bpe.codec(bpe.tokenizer_path()), library()
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(every), 100_000):
+        texts = [f"a{c}b" for c in every[at : at + 100_000]]
+        expected = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+        assert encoded(codec, texts) == expected
 
 
 def test_store_is_emptied_and_results_stay(monkeypatch):
@@ -409,7 +443,7 @@ def test_store_is_emptied_and_results_stay(monkeypatch):
     codec = bpe.Codec(bpe.tokenizer_path())
     texts = [" ".join(f"w{i * k}x" for k in range(20)) for i in range(60)]
     expected = library().encode_batch(texts, add_special_tokens=False)
-    assert [g.tolist() for g in codec.encode_batch(texts)] == [e.ids for e in expected]
+    assert encoded(codec, texts) == [e.ids for e in expected]
 
 
 def test_token_query(spark, data):
