@@ -195,6 +195,7 @@ def token_docs(odd_docs):
     more = [
         "a▁b", "<|endoftext|> and <s> </s> <unk> <0x41>", " leading", "trailing ", "  two  blanks\t\n\n", "ﬁ ligature",
         "日本語のテキスト", "🙂🙃" * 20, "\0 zero", "é e", "a" * 300, "12345 6789", "don't we'll", " x", "ｆｕｌｌ",
+        " " * 3000 + "x" + "\n" * 1200, "new letters \u1c89 \ua7cb \U00032400 here", "𞤀 \u0600 ǅ Ⅷ ² ½ \u00a0\u0085\u2028x",
     ]
     return docs + [(700 + k, t) for k, t in enumerate(more)] + [(None, "no id"), (12, "one two"), (12, "one two")]
 
@@ -209,6 +210,16 @@ def test_alignment(spark, token_docs, plain_tokens, slice_bytes):
     assert sum(r.n_a == 0 for r in rows) > 3  # NULL, empty, normalised by B
 
 
+def test_both_libraries_of_a_agree_on_every_letter_that_is_known():
+    both = token_align.pair(tokenizer_path(token_align.TOKENIZER_A), tokenizer_path(token_align.TOKENIZER_B))
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f" a{c}b 1{c} {c}{c}" for c in every if both.is_plain(c)]
+    assert len(texts) > 250_000
+    want = [e.ids for e in both.exact.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [both.fast.encode_ordinary(t) for t in texts] == want
+    assert both.is_plain(" " * 999) and not both.is_plain("a" + " " * 1000) and not both.is_plain("\u1c89")
+
+
 def test_records_are_cut_into_parts(monkeypatch):
     both = token_align.pair(tokenizer_path(token_align.TOKENIZER_A), tokenizer_path(token_align.TOKENIZER_B))
     texts = ["🙂 é ü " * 40, "plain words here", "", "日本 " * 9]
