@@ -4,7 +4,8 @@ Rows are dealt into ``FAN ** ROUNDS`` slices by a hash of their id, so a text th
 third of all rows hold is spread over all slices.
 
 * Runs: each slice is reduced to one entry per text: the digest, the identifier that
-  stays and the number of rows.  Spark combines within every task before it sends.
+  stays and the number of rows.  Spark combines within every task before it sends.  These
+  runs are written to the shared folder.
 * Rounds: ``FAN`` neighbouring runs are merged into one, entry by entry, until one run
   is left.  No entry of a round gathers more than ``FAN`` entries, however often its
   text occurs.  A run is a set of entries, dealt to tasks by digest, never one task.
@@ -29,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from facetable.llm.tables import settled
+
 #: Runs that one round merges into one, and rounds: 4096 slices.
 FAN = 16
 ROUNDS = 3
@@ -93,7 +96,8 @@ def mark(
         *[F.col(c).alias(name) for c, name in zip((run, digest, size, check), key, strict=True)],
         F.col(id_col).alias("keep"),
     )
-    levels = [first.groupBy(*key).agg(best("keep").alias("keep"), F.count("*").alias("rows"))]
+    # Written, because every round below starts from them; the texts are not read for it again.
+    levels = [settled(first.groupBy(*key).agg(best("keep").alias("keep"), F.count("*").alias("rows")))]
     for _ in range(rounds):
         levels.append(merge_round(levels[-1], best("keep"), fan))
     answers = levels.pop()
