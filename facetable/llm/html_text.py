@@ -10,19 +10,24 @@ short paragraphs and headings inside them stay.
 
 A region is a stretch of lines between parts that are no content.  On a page with an
 article or main element, it is the lines of one container (a div, an article, ...);
-sections and lists belong to the container around them.  These elements are a prior,
-they decide nothing alone: ratios in them weigh ``PRIOR`` times.  A region is selected
-if it holds a core line that reaches the threshold by its own ratio too, or the highest
-smoothed ratio.  If some region of an element is selected so, others in it are too if half
-of their lines are core, though only neighbours lift them, or if they hold nothing but
-headings and the next one is selected.  Mostly links: outside such an element one line is a menu,
-inside it two in a row are a link list, and a single one belongs to the text.
-
-Marks in an id are weaker than in a class or role, as generators make ids of heading
-texts ("related-work"): at a heading they say nothing, and in an article they only make
-a suspect, which goes if it has no core line, is mostly links, or has neither a heading
-nor a line of ``PROSE`` characters per tag.  So do classes that are phrases
-("notice-and-consent").
+sections belong to the container around them, and containers of nothing but list items,
+cells, preformatted text and their headings share the state of the lines before them.
+These elements are a prior, they decide nothing alone: ratios in them weigh ``PRIOR`` times.
+A region is selected if it holds a core line that reaches the threshold by its own ratio
+too, or the highest smoothed ratio.  If some region of an element is selected so, others in
+it are too if half of their lines are core, though only neighbours lift them, or if they
+hold nothing but headings and the next one is selected.  Mostly links: outside such an
+element one line is a menu; inside it two in a row are a link list, unless a heading of
+the text comes right before them ("References"), and a single one belongs to the text.
+
+Marks: a class, id or role drops its element if it is a mark, ends with one
+("post-comments") or goes on after it with words of frames alone ("ad-container").  Any
+other name that holds a mark ("social-science-article", all widgets), phrases
+("notice-and-consent") and, in an article, ids, which generators make of heading texts,
+only make a suspect, on any page: it goes if it has no core line, is mostly links, or has
+neither a heading nor a line of ``PROSE`` characters per tag.  If a page would be empty,
+names of several words make suspects only.  Within a line only marks of ``INLINE`` leave
+text out, and none in preformatted text.
 
 Pages are mapped row by row in Arrow batches: no shuffle, memory of one batch.
 
@@ -53,18 +58,37 @@ VOID = frozenset(
 )
 #: Elements that never hold content.
 DROPPED = frozenset(
-    "applet aside audio button canvas datalist dialog embed footer form head iframe input "
-    "label map math menu meter nav noscript object optgroup option progress script select "
-    "style svg template textarea title video".split()
+    "annotation applet aside audio button canvas datalist dialog embed footer form head iframe "
+    "input map menu meter nav noscript optgroup option progress script select style svg "
+    "template textarea title video".split()
 )
 #: Words in class, id or role that mark a part as no content.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs "
-    "byline comment commentlist comments complementary consent contentinfo cookie cookies "
+    "comment commentlist comments complementary consent contentinfo cookie cookies "
     "copyright dialog disqus footer gdpr login menu modal nav navbar navigation newsletter notice "
     "pager pagination paywall popup promo promoted promotion recommendations recommended "
     "related replies reply respond search share sharing sidebar signup social sponsor "
-    "sponsored subscribe subscription tags toolbar warning widget widgets".split()
+    "sponsored subscribe subscription tags toolbar warning".split()
+)
+#: Words that hint at a part of a page, whatever it is.
+HINTS = frozenset("widget widgets".split())
+#: Marks that leave out text within a line.
+INLINE = frozenset(
+    "ad ads adv advert adverts advertisement advertising cookie cookies newsletter popup promo "
+    "promoted share sharing sponsored".split()
+)
+#: Words of frames: after a mark they leave it one ("comment-body").
+FRAMES = frozenset(
+    "area articles author bar block body bottom box button buttons col column container content date "
+    "entries footer form group head header heading holder icons inner item items left link links "
+    "list lists meta news outer panel posts right row section slot stories strip text thread "
+    "threads title top topics unit widget widgets wrap wrapper zone".split()
+)
+#: A heading with one of these words is none of the text.
+OTHER_HEADINGS = frozenset(
+    "advertisement comments latest more newsletter popular recommended related share sponsored "
+    "subscribe tags trending".split()
 )
 #: Marks of a page's head part; inside an article they may hold its title.
 HEAD_MARKS = frozenset("header masthead".split())
@@ -82,10 +106,13 @@ STATES = frozenset("closed disabled enabled none off on open".split())
 ROOTS = frozenset(["article", "main"])
 CONTAINERS = frozenset("article body center div main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-CLOSED_BY_BLOCK = frozenset(["p"])
+#: Lines in these share the state of the lines before them.
+LISTED = frozenset("dd dt li pre td th tr".split())
+FIXED_TEXT = frozenset(["code", "pre"])
 #: A tag that the end of the page cuts off.
 CUT_OFF = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")
 _PARTS = re.compile(r"[^a-z0-9]+")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 SIGMA = 1.0
 RADIUS = 3
@@ -95,20 +122,24 @@ PROSE = 15.0
 PRIOR = 2.0
 
 
-def is_mark(name: str, marks: frozenset[str]) -> bool:
-    """Whether one class, id or role says that its element is no content.
+NO_MARK, HINT, MARK = 0, 1, 2
+
 
-    A mark counts wherever it stands ("ad-container", "comment-body"), unless the
-    words around it make the name one of a frame.
-    """
+def mark_of(name: str, marks: frozenset[str] = MARKS) -> int:
+    """What one class, id or role says: nothing, a hint, or that its element is no content."""
     words = [w for w in _PARTS.split(name) if w]
-    at = next((k for k, w in enumerate(words) if w in marks), None)
+    at = next((k for k, w in enumerate(words) if w in marks or w in HINTS), None)
     if at is None:
-        return False
+        return NO_MARK
     before = words[:at]
     if NEGATED & set(before) or words[-1] in STATES:
-        return False
-    return not (LAYOUT & set(before) and (words[at] in COLUMNS or words[-1] in WRAPS))
+        return NO_MARK
+    if LAYOUT & set(before) and (words[at] in COLUMNS or words[-1] in WRAPS):
+        return NO_MARK
+    if words[at] in HINTS or PHRASES & set(words):
+        return HINT
+    ends = words[-1] in marks or all(w in FRAMES or w in marks or w.isdigit() for w in words[at + 1 :])
+    return MARK if ends else HINT
 
 
 class Line(NamedTuple):
@@ -119,21 +150,32 @@ class Line(NamedTuple):
     link_chars: int
     container: int
     heading: bool
-    suspects: tuple[int, ...]  # numbers of the open elements with a weak mark
+    listed: bool
+
+
+class Open(NamedTuple):
+    """An element that is not closed yet."""
+
+    tag: str
+    chrome: bool
+    root: bool
+    suspect: int  # its number, or -1
 
 
 class Lines(HTMLParser):
-    """Collects the lines of a page."""
+    """Collects the lines of a page.  ``lenient``: names of several words are hints only."""
 
-    def __init__(self) -> None:
+    def __init__(self, lenient: bool = False) -> None:
         super().__init__(convert_charrefs=True)
+        self.lenient = lenient
         self.lines: list[Line] = []
-        self.stack: list[tuple[str, bool, bool, bool]] = []  # tag, opens chrome, article, suspect
-        self.open: dict[str, int] = {}
-        self.chrome = self.muted = self.article = self.links = self.headings = 0
+        self.stack: list[Open] = []
+        self.places: dict[str, list[int]] = {}  # where in the stack each tag stands
+        self.block_places: list[int] = []
+        self.chrome = self.muted = self.article = self.links = self.headings = self.listed = self.fixed = 0
         self.containers = [0]  # numbers of the open ones
-        self.suspects: tuple[int, ...] = ()
-        self.n_containers = self.n_suspects = self.root = 0
+        self.n_containers = self.root = 0
+        self.suspects: list[list[int]] = []  # the lines of each: from, up to
         self.parts: list[str] = []
         self.tags = self.link_chars = 0
 
@@ -143,62 +185,83 @@ class Lines(HTMLParser):
             self.lines.append(
                 Line(
                     text, self.tags, self.chrome > 0, self.root if self.article else 0,
-                    self.link_chars, self.containers[-1], self.headings > 0, self.suspects,
+                    self.link_chars, self.containers[-1], self.headings > 0, self.listed > 0,
                 )
             )
             self.tags = 0
         self.parts, self.link_chars = [], 0
 
+    def finish(self) -> None:
+        self.close()
+        self.end_line()
+        for element in self.stack:
+            if element.suspect >= 0:
+                self.suspects[element.suspect][1] = len(self.lines)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag in BLOCKS:
             self.end_line()
-            if self.open.get("p"):  # a block ends an open paragraph
-                self._pop("p")
+            if self.places.get("p") and self.places["p"][-1] == self.block_places[-1]:
+                self._pop("p")  # a block ends an open paragraph, but not one around another block
         elif tag in ("br", "td", "th"):
             self.parts.append(" ")
         if tag in VOID:
             return
         root = tag in ROOTS
-        chrome, suspect = self._is_chrome(tag, attrs)
+        chrome, suspect = self._judge(tag, attrs)
         if suspect:
-            self.n_suspects += 1
-            self.suspects += (self.n_suspects,)
-        self.stack.append((tag, chrome, root, suspect))
-        self.open[tag] = self.open.get(tag, 0) + 1
-        # A block of this kind is a line of its own; within a line, text is left out.
+            self.suspects.append([len(self.lines), len(self.lines)])
+        self.places.setdefault(tag, []).append(len(self.stack))
         if tag in BLOCKS:
-            self.chrome += chrome
-        else:
-            self.muted += chrome
-        self.article += root
-        self.links += tag == "a"
-        self.headings += tag in HEADINGS
+            self.block_places.append(len(self.stack))
+        self.stack.append(Open(tag, chrome, root, len(self.suspects) - 1 if suspect else -1))
+        self._count(self.stack[-1], 1)
         if tag in CONTAINERS:
             self.n_containers += 1
             self.containers.append(self.n_containers)
             if root and self.article == 1:
                 self.root = self.n_containers
 
-    def _is_chrome(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+    def _count(self, element: Open, by: int) -> None:
+        tag = element.tag
+        # A block of this kind is a line of its own; within a line, text is left out.
+        if tag in BLOCKS:
+            self.chrome += by * element.chrome
+        else:
+            self.muted += by * element.chrome
+        self.article += by * element.root
+        self.links += by * (tag == "a")
+        self.headings += by * (tag in HEADINGS)
+        self.listed += by * (tag in LISTED)
+        self.fixed += by * (tag in FIXED_TEXT)
+
+    def _judge(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
         """Whether an element is no content for certain, and whether it is a suspect."""
         if tag in DROPPED or (tag == "header" and not self.article):
             return True, False
         if tag in ROOTS or tag in ("html", "body"):
             return False, False
-        suspect = False
+        block, suspect = tag in BLOCKS, False
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
                 if name == "id" and tag in HEADINGS:
                     continue
                 for word in value.lower().split():
-                    if is_mark(word, MARKS) or (not self.article and is_mark(word, HEAD_MARKS)):
-                        weak = name == "id" or PHRASES & set(_PARTS.split(word))
-                        if not (self.article and weak):
+                    if block:
+                        found = mark_of(word)
+                        if found < MARK and not self.article:
+                            found = max(found, mark_of(word, HEAD_MARKS))
+                        weak = (name == "id" and self.article) or (self.lenient and not word.isalnum())
+                        if found == MARK and not weak:
                             return True, False
-                        suspect |= tag in BLOCKS
+                        suspect |= found > NO_MARK
+                    elif name != "id" and not self.fixed and mark_of(word, INLINE) == MARK:
+                        return True, False
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True, False
+            elif name == "style" and value and _UNSEEN.search(value):
+                return True, False
         return False, suspect
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -210,30 +273,25 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCKS:
             self.end_line()
-        if self.open.get(tag):
+        if not self.places.get(tag):
+            return
+        # A paragraph does not reach out of the block that holds it.
+        if tag != "p" or self.places["p"][-1] == self.block_places[-1]:
             self._pop(tag)
 
     def _pop(self, tag: str) -> None:
         """Close an open element and all that was opened in it."""
-        if self.stack[-1][0] != tag:
-            # A paragraph does not reach out of the block that holds it.
-            at = next(i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag)
-            if tag in CLOSED_BY_BLOCK and any(t in BLOCKS for t, *_ in self.stack[at + 1 :]):
-                return
         while True:
-            name, chrome, root, suspect = self.stack.pop()
-            if (chrome or suspect) and name in BLOCKS:
-                self.end_line()
-            if suspect:
-                self.suspects = self.suspects[:-1]
-            self.open[name] -= 1
+            element = self.stack.pop()
+            name = element.tag
             if name in BLOCKS:
-                self.chrome -= chrome
-            else:
-                self.muted -= chrome
-            self.article -= root
-            self.links -= name == "a"
-            self.headings -= name in HEADINGS
+                self.block_places.pop()
+                if element.chrome or element.suspect >= 0:
+                    self.end_line()
+            if element.suspect >= 0:
+                self.suspects[element.suspect][1] = len(self.lines)
+            self.places[name].pop()
+            self._count(element, -1)
             if name in CONTAINERS:
                 self.containers.pop()
             if name == tag:
@@ -255,12 +313,23 @@ def smooth(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(ratios, kernel, "full")[RADIUS : RADIUS + len(ratios)] / weight
 
 
-def in_runs(flags: np.ndarray) -> np.ndarray:
-    """The flags that have a neighbour with one."""
-    beside = np.zeros(len(flags) + 2, dtype=bool)
-    beside[:-2] |= flags
-    beside[2:] |= flags
-    return flags & beside[1:-1]
+def link_lists(lines: list[Line], links: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """The lines of articles that are mostly links and stand in a row, but for rows that
+    follow a heading of the text."""
+    out = links & (root > 0)
+    beside = np.zeros(len(out) + 2, dtype=bool)
+    beside[:-2] |= out
+    beside[2:] |= out
+    out &= beside[1:-1]
+    first = np.flatnonzero(out & ~np.append(False, out[:-1]))
+    for k in first.tolist():
+        before = lines[k - 1] if k else None
+        if before is not None and before.heading and root[k - 1] == root[k]:
+            if not OTHER_HEADINGS & set(_PARTS.split(before.text.lower())):
+                while k < len(out) and out[k]:
+                    out[k] = False
+                    k += 1
+    return out
 
 
 class Measured(NamedTuple):
@@ -276,7 +345,7 @@ def measure(lines: list[Line], chrome: np.ndarray) -> Measured:
     root = np.where(chrome, 0, [line.root for line in lines])
     article = root > 0
     links = np.array([2 * line.link_chars > len(line.text) for line in lines]) & ~chrome
-    chrome = chrome | (links & (~article | in_runs(links & article)))
+    chrome = chrome | (links & ~article) | link_lists(lines, links, root)
     skipped = chrome | links
     ratios = np.array([0.0 if skip else len(x.text) / max(x.tags, 1) for x, skip in zip(lines, skipped, strict=True)])
     ratios[article] *= PRIOR
@@ -286,36 +355,55 @@ def measure(lines: list[Line], chrome: np.ndarray) -> Measured:
     return Measured(chrome, root, ratios, smoothed, threshold, core)
 
 
-def convicted(lines: list[Line], page: Measured) -> np.ndarray:
-    """The lines of suspects that do not look like text."""
-    inside: dict[int, list[int]] = {}
-    for k, line in enumerate(lines):
-        for suspect in line.suspects:
-            inside.setdefault(suspect, []).append(k)
-    out = np.zeros(len(lines), dtype=bool)
-    for at in inside.values():
-        mine = [lines[k] for k in at]
-        prose = any(x.heading or len(x.text) >= PROSE * x.tags for x in mine)
-        linked = 2 * sum(x.link_chars for x in mine) > sum(len(x.text) for x in mine)
-        out[at] |= linked or not prose or not page.core[at].any()
+def convicted(lines: list[Line], suspects: list[list[int]], page: Measured) -> np.ndarray:
+    """The lines of suspects that do not look like text.  Each has a stretch of lines."""
+    first, stop = np.array(suspects).T
+
+    def total(values: list | np.ndarray) -> np.ndarray:
+        sums = np.append(0, np.cumsum(np.asarray(values, dtype=np.int64)))
+        return sums[stop] - sums[first]
+
+    prose = total([x.heading or len(x.text) >= PROSE * x.tags for x in lines]) > 0
+    linked = 2 * total([x.link_chars for x in lines]) > total([len(x.text) for x in lines])
+    guilty = linked | ~prose | (total(page.core) == 0)
+    depth = np.zeros(len(lines) + 1, dtype=np.int64)
+    np.add.at(depth, first[guilty], 1)
+    np.subtract.at(depth, stop[guilty], 1)
+    return np.cumsum(depth)[:-1] > 0
+
+
+def shared_states(lines: list[Line], region: np.ndarray, root: np.ndarray, chrome: np.ndarray) -> np.ndarray:
+    """Regions, where those of lists alone are that of the line before (or after) them in
+    the same element."""
+    n = region.max() + 1
+    listed = np.array([line.listed for line in lines])
+    heading = np.array([line.heading for line in lines])
+    alone = (np.bincount(region, ~chrome & listed, n) > 0) & (np.bincount(region, ~chrome & ~listed & ~heading, n) == 0)
+    mine = alone[region] & (root > 0)
+    if not mine.any():
+        return region
+    out = region.copy()
+    for order in (range(len(lines)), range(len(lines) - 1, -1, -1)):
+        last: dict[int, int] = {}
+        for k in order:
+            if chrome[k] or not root[k]:
+                continue
+            if not mine[k]:
+                last[root[k]] = region[k]
+            elif root[k] in last and out[k] == region[k]:
+                out[k] = last[root[k]]
     return out
 
 
-def main_text(html: str | None) -> str:
-    """The selected lines of one page, joined by an empty line."""
-    if not html:
-        return ""
-    parser = Lines()
-    parser.feed(CUT_OFF.sub("", html))
-    parser.close()
-    parser.end_line()
+def selected_text(parser: Lines) -> str:
+    """The lines of the selected regions, joined by an empty line."""
     lines = parser.lines
     if not lines:
         return ""
     marked = np.array([line.chrome for line in lines])
     page = measure(lines, marked)
-    if any(line.suspects for line in lines):
-        page = measure(lines, marked | convicted(lines, page))
+    if parser.suspects:
+        page = measure(lines, marked | convicted(lines, parser.suspects, page))
     chrome, root, ratios, smoothed, threshold, core = page
     article = root > 0
     region = np.cumsum(chrome)
@@ -335,10 +423,26 @@ def main_text(html: str | None) -> str:
             r = region[k]
             selected[r] |= after >= 0 and bool(selected[after]) and heads_of[r] == lines_of[r]
             after = r
-        kept = ~chrome & selected[region]
+        # A list that is selected by itself stays; others follow their surroundings.
+        kept = ~chrome & (selected[region] | selected[shared_states(lines, region, root, chrome)])
     return "\n\n".join(line.text for line, keep in zip(lines, kept, strict=True) if keep)
 
 
+def main_text(html: str | None) -> str:
+    """The main text of one page."""
+    if not html:
+        return ""
+    page = CUT_OFF.sub("", html)
+    for lenient in (False, True):
+        parser = Lines(lenient)
+        parser.feed(page)
+        parser.finish()
+        text = selected_text(parser)
+        if text or not any(line.chrome for line in parser.lines):
+            break
+    return text
+
+
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` without the html, with ``text`` and ``n_chars``."""
     kept = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -225,3 +226,50 @@ def test_ids_made_of_headings_drop_nothing(part):
 )
 def test_ids_with_another_sign_drop_their_part(part):
     assert html_text.main_text(f"<article>{paragraphs(*TEXT)}{part}</article>").split("\n\n") == TEXT
+
+
+ITEMS = "".join(f"<li>item {k}</li>" for k in range(12))
+ITEM_TEXTS = [f"item {k}" for k in range(12)]
+LINKED = "".join(f"<li><a href=/{k}>A report of the year {k}</a></li>" for k in range(3))
+LINK_TEXTS = [f"A report of the year {k}" for k in range(3)]
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div class='elementor-widget'>{paragraphs(*TEXT)}</div>", TEXT),
+        (f"<div class='page-widget-wrap'><div class='elementor-widget'>{paragraphs(*TEXT)}</div></div>", TEXT),
+        (f"<article><div class='widget-text'>{paragraphs(*TEXT)}</div></article>", TEXT),
+        (f"<div class='social-science-article'>{paragraphs(*TEXT)}</div>", TEXT),
+        (f"<article class='x'><div class='social-science-article'>{paragraphs(*TEXT)}</div></article>", TEXT),
+        # Compounds that end with a mark empty no page.
+        (f"<div class='layout-promo'>{paragraphs(*TEXT)}</div>", TEXT),
+        (f"<div class='all-comments'>{paragraphs(*TEXT)}</div><p>x</p>", ["x"]),
+        (f"<article>{paragraphs(*TEXT)}<div><ul>{ITEMS}</ul></div></article>", [*TEXT, *ITEM_TEXTS]),
+        (f"<article>{paragraphs(*TEXT)}<ul>{ITEMS}</ul></article>", [*TEXT, *ITEM_TEXTS]),
+        (f"<article><div>{paragraphs(*TEXT)}</div><div><ul>{ITEMS}</ul></div></article>", [*TEXT, *ITEM_TEXTS]),
+        (f"<article>{paragraphs(*TEXT)}<h2>References</h2><ul>{LINKED}</ul></article>", [*TEXT, "References", *LINK_TEXTS]),
+        (f"<article>{paragraphs(*TEXT)}<div><h2>References</h2><ol>{LINKED}</ol></div></article>",
+         [*TEXT, "References", *LINK_TEXTS]),
+        (f"<article>{paragraphs(*TEXT)}<ul>{LINKED}</ul></article>", TEXT),
+        (f"<article>{paragraphs(*TEXT)}<pre>run <span class='tags'>important code</span> now</pre></article>",
+         [*TEXT, "run important code now"]),
+        (f"<article><p class='byline'>By A. Writer</p>{paragraphs(*TEXT)}</article>", ["By A. Writer", *TEXT]),
+        (f"<article>{paragraphs(*TEXT)}<p><label>Figure</label> one: <math><mi>x</mi></math></p>"
+         "<p><object data=a>the words of the chart</object></p></article>",
+         [*TEXT, "Figure one: x", "the words of the chart"]),
+        (f"<article>{paragraphs(*TEXT)}<p style='display: none'>{LONG}</p><p hidden>{LONG}</p></article>", TEXT),
+        (f"<article>{paragraphs(*TEXT)}<p>Word <span class='ad'>buy</span> {LONG}</p></article>", [*TEXT, f"Word {LONG}"]),
+    ],
+)
+def test_marks_empty_no_page_and_lists_stay(page, text):
+    assert html_text.main_text(page).split("\n\n") == text
+
+
+@pytest.mark.parametrize("opened", ["<div class='widget-area'>", "<p><b>", "<div>", "<p><div>", "<ul><li>"])
+def test_deep_nesting_takes_time_in_proportion(opened):
+    tags = opened.count("<")
+    page = opened * (10_000 // tags) + LONG
+    start = time.perf_counter()
+    html_text.main_text(f"<p>{LONG}</p>{page}")
+    assert time.perf_counter() - start < 1.0
