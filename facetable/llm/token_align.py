@@ -60,10 +60,10 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: White space in a row that is left to the first library.
 RUN = 1000
 #: Bytes of text in a slice; characters that a library encodes together.
-SLICE = 8 << 20
-PIECE = 1 << 18
+SLICE = 4 << 20
+PIECE = 1 << 16
 #: Links that stand as arrays at one time.
-LINKS = 1 << 22
+LINKS = 1 << 19
 #: Radices per shuffle partition, and radices that one A id is dealt over.
 SPREAD = 2
 SPLIT = 64
@@ -92,12 +92,8 @@ class Pair:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(path_a)
-        self.exact.encode_special_tokens = True
-        self.exact.no_truncation()
-        self.exact.no_padding()
+        self.path_a = path_a
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         value = {letter: byte for byte, letter in enumerate(byte_letters())}
         with open(path_a, encoding="utf-8") as file:
@@ -123,6 +119,17 @@ class Pair:
             [f"{i}{end}" for n, ends in ((n_a, ",|"), (n_b, ",;")) for end in ends for i in range(n)]
         )
 
+    @functools.cached_property
+    def exact(self):
+        """The first library of A, which most workers never need."""
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path_a)
+        library.encode_special_tokens = True
+        library.no_truncation()
+        library.no_padding()
+        return library
+
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         if self.b.is_byte(i):
