@@ -1,32 +1,38 @@
-"""Benchmark decontamination by shared shingles and SimHash of item-sized windows.
+"""Benchmark decontamination by SimHash of item-sized windows.
 
 A document is contaminated by an item if some window of as many words as the item has
 a weighted Jaccard similarity of 0.75 or more with it; shingles of five words are
 weighted by how often they occur.  Words are compared without ASCII punctuation and
 with A-Z as a-z, so quotes and full stops around a passage do not hide it.
 
-Windows are found in three steps.  The first carries the search and loses none:
-
-* an exact index of the shingles of all items.  Only windows that hold enough shingles
-  of an item can reach the similarity, so for each item it gives the windows to look at;
-* these windows get a SimHash of 128 bits.  Fingerprints of items with as many shingles
-  are indexed in ``RADIUS + 1`` blocks of bits: two fingerprints within the radius
-  agree in at least one block.  The look-up adds items of that size that are near, and
-  takes away none;
-* the exact weighted similarity decides, for the item of the first step at each of its
-  windows, and for those that the second step adds.
-
-Items are read to where the query is planned in blocks of bounded size and travel with
-the function; each block is one pass over the documents, so any number of items works.
-The passes are chained row by row: nothing is shuffled.
+* Windows: for every length of an item, each window of a text that may hold an item.  A
+  window in which too few shingles are in any item at all cannot reach the similarity with
+  one, and gets no fingerprint; this takes nothing away.
+* Fingerprints: a SimHash of ``BITS`` bits over the words of the window, weighted by how
+  often they occur.
+* Blocks: fingerprints are indexed in ``BITS / WIDTH`` blocks of bits.  Fingerprints that
+  differ in fewer bits than there are blocks agree in one at least, so all items within
+  that radius are candidates; so are others that share a block by chance.
+* Verification: the exact weighted similarity of every candidate with its window decides.
+
+Items are found through blocks only.  At similarity 0.75 windows share six of seven words
+or more, a bit differs with 0.17 at most, and 0.96 or more of such pairs share a block;
+at 0.85 it is 0.9995.  A passage is seen in several windows, so the recall of items is
+higher; tests measure it.
+
+Spark holds both sides: items and windows are tables of block keys that are joined, so the
+plan is the same for any number of items.  Tasks get two bit tables of a fixed size at
+most (``TABLE_BITS``): the shingles and the block keys of all items.  They let through all that is
+in an item, and rarely more.  Windows are told from equal texts, which share them.
 
 Edge cases: a NULL or empty text, and one without words, is clean; items without words
-are left out; an item of fewer than five words is one shingle, as is such a text.  With
+are left out; an item without an id counts, its id in the answer is NULL; items of one id
+are one.  An item of fewer than five words is one shingle, as is such a text.  With
 ``short_anywhere`` it is found wherever its words stand; without, only in a text of as
 many words, so "Yes" does not mark every text with that word.  ``short_items`` lists
-them.  Equal items are all reported.  Repeated rows get equal answers.  Other columns pass through,
-those named like a result are replaced.  A window at the end of a short text may be
-shorter than the item.
+them.  Equal items are all reported.  Repeated rows get equal answers.  Other columns pass
+through, those named like a result are replaced.  A window of a text with fewer words than
+the item is the whole text.  Empty tables give no rows, or clean ones.
 """
 
 from __future__ import annotations
@@ -36,21 +42,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetable.llm.shingles import LOWER, SIZE, mix, window_hashes, word_hashes, words_at
-from facetable.llm.tables import words_of
+from facetable.llm.tables import settled, unused, words_of
 
 THRESHOLD = 0.75
-BITS = 128
-RADIUS = 40
-#: Items and bytes of one block of the benchmark.
-BLOCK_ITEMS, BLOCK_BYTES = 5_000, 4_000_000
+#: Bits of a fingerprint, and of one block of it.
+BITS = 1024
+WIDTH = 16
+#: Bits of a table of shingles or keys: so many for each, and never more than these.
+BITS_EACH, TABLE_BITS = 256, 1 << 26
+#: Windows whose fingerprints are made together.
+TOGETHER = 512
 
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
-_SECOND = np.uint64(0xD1B54A32D192ED03)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def normal_words(text: str | None) -> np.ndarray:
@@ -60,187 +69,264 @@ def normal_words(text: str | None) -> np.ndarray:
     return word_hashes(data, starts, ends)
 
 
-def sums_of_bits(shingles: np.ndarray) -> np.ndarray:
-    """For each prefix of a list of shingles, the sums of their bits as +1 and -1."""
-    halves = np.stack([mix(shingles), mix(shingles + _SECOND)], axis=1)
-    bits = np.unpackbits(halves.view(np.uint8).reshape(len(shingles), 16), axis=1)
-    out = np.zeros((len(shingles) + 1, BITS), dtype=np.int32)
-    np.cumsum(bits.astype(np.int32) * 2 - 1, axis=0, out=out[1:])
-    return out
-
-
-def fingerprints(sums: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of the windows, one bit per byte (0 or 1)."""
-    return (sums[starts + size] - sums[starts] > 0).astype(np.uint8)
-
-
-class BlockIndex:
-    """Fingerprints of items by the values of their blocks of bits."""
-
-    def __init__(self, prints: np.ndarray):
-        self.prints = prints
-        self.cuts = np.linspace(0, BITS, RADIUS + 2).astype(int)
-        self.tables: list[dict[bytes, list[int]]] = []
-        for a, b in zip(self.cuts, self.cuts[1:], strict=False):
-            table: dict[bytes, list[int]] = {}
-            for k, row in enumerate(prints):
-                table.setdefault(row[a:b].tobytes(), []).append(k)
-            self.tables.append(table)
-
-    def within(self, row: np.ndarray) -> np.ndarray:
-        """All items within the radius of a fingerprint."""
-        found: set[int] = set()
-        for table, a, b in zip(self.tables, self.cuts, self.cuts[1:], strict=False):
-            found.update(table.get(row[a:b].tobytes(), ()))
-        near = np.fromiter(found, dtype=np.int64, count=len(found))
-        return near[(self.prints[near] != row).sum(axis=1) <= RADIUS]
-
-
-class Items:
-    """One block of the benchmark."""
-
-    def __init__(self, rows: list[tuple[int, str]]):
-        self.ids: list[int] = []
-        self.shingles: list[np.ndarray] = []
-        self.size: list[int] = []
-        for item, text in rows:
-            words = normal_words(text)
-            if len(words):
-                self.ids.append(item)
-                self.size.append(min(SIZE, len(words)))
-                self.shingles.append(window_hashes(words))
-        self.sizes = sorted(set(self.size))
-        owners = [np.full(len(np.unique(s)), k) for k, s in enumerate(self.shingles)]
-        values = [np.unique(s) for s in self.shingles]
-        owner = np.concatenate([*owners, np.zeros(0, dtype=np.int64)]).astype(np.int64)
-        value = np.concatenate([*values, np.zeros(0, dtype=np.uint64)])
-        order = np.argsort(value, kind="stable")
-        self.value, self.owner = value[order], owner[order]
-        # A first look: one bit per value of the lowest bits.
-        self.low = np.uint64((1 << max(16, int(np.log2(len(value) + 1)) + 6)) - 1)
-        self.maybe = np.zeros(int(self.low) + 1, dtype=bool)
-        self.maybe[(self.value & self.low).astype(np.int64)] = True
-        self.counts = [Counter(s.tolist()) for s in self.shingles]
-        self.index: dict[tuple[int, int], tuple[BlockIndex, np.ndarray]] = {}
-        groups: dict[tuple[int, int], list[int]] = {}
-        for k, s in enumerate(self.shingles):
-            groups.setdefault((self.size[k], len(s)), []).append(k)
-        for key, members in groups.items():
-            prints = np.concatenate(
-                [fingerprints(sums_of_bits(self.shingles[k]), np.zeros(1, np.int64), len(self.shingles[k])) for k in members]
+def fingerprints(words: np.ndarray, starts: np.ndarray, length: int, bits: int = BITS) -> np.ndarray:
+    """SimHash of the windows of ``length`` words that begin at ``starts``, as bytes."""
+    values, back = np.unique(words, return_inverse=True)
+    parts = [mix(values + np.uint64(k + 1) * _STEP) for k in range(bits // 64)]
+    signs = np.unpackbits(np.stack(parts, axis=1).view(np.uint8), axis=1).astype(np.int32) * 2 - 1
+    sums = np.zeros((len(words) + 1, bits), dtype=np.int32)
+    np.cumsum(signs[back], axis=0, out=sums[1:])
+    return np.packbits(sums[starts + length] > sums[starts], axis=1)
+
+
+def block_keys(prints: np.ndarray, size: int, n: int) -> np.ndarray:
+    """A number for every block of every fingerprint, other ones for other lengths."""
+    blocks = prints.view(np.uint16).astype(np.uint64)
+    place = np.arange(blocks.shape[1], dtype=np.uint64) << np.uint64(16)
+    kind = np.uint64(n * (SIZE + 1) + size)
+    return mix(mix(blocks + place) + np.array([kind]) * _STEP).view(np.int64)
+
+
+def least_shared(n: int, window: int) -> float:
+    """Shingles that an item of ``n`` shares with a window at the threshold."""
+    return THRESHOLD * (n + window) / (1 + THRESHOLD) - 1e-9
+
+
+ITEMS = "row bigint, size int, n int, shingles binary, values array<bigint>, keys array<bigint>"
+
+
+def index_items(benchmark: DataFrame, bits: int = BITS) -> DataFrame:
+    """``ITEMS`` and ``item_id``, one row per item with words."""
+    kind = benchmark.schema["item_id"]
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, columns = [], []
+            for k, text in enumerate(batch.column("text").to_pylist()):
+                words = normal_words(text)
+                if not len(words):
+                    continue
+                shingles = window_hashes(words)
+                size, n = min(SIZE, len(words)), len(shingles)
+                keys = block_keys(fingerprints(words, np.zeros(1, np.int64), len(words), bits), size, n)
+                values = np.unique(shingles).view(np.int64)
+                row = int(mix(np.array([np.bitwise_xor.reduce(mix(shingles + np.arange(n, dtype=np.uint64)))]))[0] >> np.uint64(1))
+                kept.append(k)
+                columns.append((row, size, n, shingles.tobytes(), values.tolist(), np.unique(keys).tolist()))
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            arrays = [pa.array(c, t) for c, t in zip(list(zip(*columns, strict=True)) or [[]] * 6, kinds, strict=True)]
+            ids = batch.column("item_id").take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [ids, *arrays], names=["item_id", "row", "size", "n", "shingles", "values", "keys"]
             )
-            self.index[key] = BlockIndex(prints), np.array(members)
 
-    def leaks(self, text: str | None, short_anywhere: bool = True) -> dict[int, tuple[float, int]]:
-        """Item number -> best similarity and the first word of that window."""
+    schema = T.StructType([T.StructField("item_id", kind.dataType), *T.StructType.fromDDL(ITEMS)])
+    return benchmark.select("item_id", "text").mapInArrow(over, schema)
+
+
+def bit_table(rows: DataFrame, column: str) -> np.ndarray:
+    """A table with the bit of every number in ``column``: 8 MB at most."""
+    numbers = rows.select(F.explode(column).alias("x"))
+    wanted = max(1 << 12, BITS_EACH * numbers.count())
+    size = min(TABLE_BITS, 1 << (wanted - 1).bit_length())
+    at = F.col("x").bitwiseAND(F.lit(size - 1))
+    words = numbers.groupBy(F.shiftright(at, 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
+    )
+    table = np.zeros(size // 64, dtype=np.uint64)
+    found = words.toArrow()
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return table
+
+
+def in_table(table: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    at = numbers.view(np.uint64) & np.uint64(64 * len(table) - 1)
+    return (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+class Seeker:
+    """What a task knows of the items: their lengths, and two bit tables."""
+
+    def __init__(self, lengths: dict[int, list[int]], shingles: np.ndarray, keys: np.ndarray, bits: int):
+        self.lengths, self.shingles, self.keys, self.bits = lengths, shingles, keys, bits
+
+    def windows(self, text: str | None, short_anywhere: bool) -> Iterator[tuple]:
+        """Size, place and shingles of stretches, with their (n, start, key) of windows
+        that have a block in common with some item."""
         words = normal_words(text)
-        best: dict[int, tuple[float, int]] = {}
-        for size in self.sizes:
-            if len(words) == size or (len(words) > size and (short_anywhere or size == SIZE)):
-                self._leaks(window_hashes(words, size), size, best)
-        return best
-
-    def _leaks(self, shingles: np.ndarray, size: int, best: dict[int, tuple[float, int]]) -> None:
-        at = np.flatnonzero(self.maybe[(shingles & self.low).astype(np.int64)])
-        low = np.searchsorted(self.value, shingles[at], "left")
-        count = np.searchsorted(self.value, shingles[at], "right") - low
-        if not count.any():
-            return
-        which = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        owner, place = self.owner[which], np.repeat(at, count)
-        total = np.bincount(owner, minlength=len(self.ids))
-        sums = None
-        tried: set[tuple[int, int]] = set()
-        for k in np.flatnonzero(total):
-            n = len(self.shingles[k])
-            if self.size[k] != size:
-                continue
-            window = min(n, len(shingles))
-            need = THRESHOLD * (n + window) / (1 + THRESHOLD) - 1e-9
-            if total[k] < need:
+        for size, lengths in self.lengths.items():
+            if len(words) < size or (len(words) > size < SIZE and not short_anywhere):
                 continue
-            mine = np.zeros(len(shingles) + 1, dtype=np.int64)
-            mine[place[owner == k] + 1] = 1
-            held = np.cumsum(mine)
-            starts = np.flatnonzero(held[window:] - held[:-window] >= need)
-            if not len(starts):
+            shingles = window_hashes(words, size)
+            hit = in_table(self.shingles, shingles)
+            total = int(hit.sum())
+            if total < least_shared(lengths[0], min(lengths[0], len(shingles))):
                 continue
-            if sums is None:
-                sums = sums_of_bits(shingles)
-            index, members = self.index[(size, n)]
-            for start, row in zip(starts.tolist(), fingerprints(sums, starts, window), strict=True):
-                near = {k}
-                if (n, start) not in tried:
-                    tried.add((n, start))
-                    near.update(members[index.within(row)].tolist())
-                for found in sorted(near):
-                    s = self._similarity(found, shingles[start : start + window])
-                    if s >= THRESHOLD and s > best.get(found, (0.0, 0))[0]:
-                        best[found] = (s, start)
-
-    def _similarity(self, item: int, window: np.ndarray) -> float:
-        a, b = self.counts[item], Counter(window.tolist())
-        shared = sum((a & b).values())
-        return shared / (sum(a.values()) + sum(b.values()) - shared)
-
-
-def blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """The items in blocks of bounded size."""
-    rows: list[tuple[int, str]] = []
-    held = 0
-    for row in benchmark.select("item_id", "text").toLocalIterator():
-        if row["item_id"] is None or not row["text"]:
-            continue
-        rows.append((row["item_id"], row["text"]))
-        held += len(row["text"])
-        if len(rows) >= BLOCK_ITEMS or held >= BLOCK_BYTES:
-            yield Items(rows)
-            rows, held = [], 0
-    yield Items(rows)
-
-
-def _with_leaks(docs: DataFrame, items: Items, text_col: str, short_anywhere: bool) -> DataFrame:
-    kept = [c for c in docs.columns if c != "leaks"]
-    leak = T.StructType(
-        [
-            T.StructField("item_id", T.LongType()),
-            T.StructField("similarity", T.DoubleType()),
-            T.StructField("word", T.IntegerType()),
-        ]
-    )
-    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField("leaks", T.ArrayType(leak))])
-    arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("word", pa.int32())]))
+            held = np.append(0, np.cumsum(hit))
+            found = []
+            for n in lengths:
+                window = min(n, len(shingles))
+                need = least_shared(n, window)
+                if need > total:
+                    break  # longer ones need more
+                if need > window:
+                    continue
+                starts = np.flatnonzero(held[window:] - held[:-window] >= need)
+                if window == 1:  # one place of each shingle says all
+                    starts = starts[np.unique(shingles[starts], return_index=True)[1]]
+                    starts.sort()
+                found += self._known(words, starts, n, window, size)
+            yield from self._stretches(found, shingles, size)
+
+    def _known(self, words: np.ndarray, starts: np.ndarray, n: int, window: int, size: int) -> Iterator[tuple]:
+        """(start, stop, n, keys) of the windows with keys of items."""
+        length = window + size - 1
+        at = 0
+        while at < len(starts):
+            # Windows that lie near each other, a bounded number.
+            some = starts[at : at + TOGETHER]
+            far = np.flatnonzero(np.diff(some) > length)
+            some = some[: far[0] + 1] if len(far) else some
+            at += len(some)
+            part = words[some[0] : some[-1] + length]
+            keys = block_keys(fingerprints(part, some - some[0], length, self.bits), size, n)
+            known = in_table(self.keys, keys.ravel()).reshape(keys.shape)
+            for k in np.flatnonzero(known.any(axis=1)).tolist():
+                yield int(some[k]), int(some[k]) + window, n, keys[k][known[k]]
+
+    def _stretches(self, found: list[tuple], shingles: np.ndarray, size: int) -> Iterator[tuple]:
+        found.sort(key=lambda f: f[:3])
+        k = 0
+        while k < len(found):
+            first, stop, mine = found[k][0], found[k][1], []
+            while k < len(found) and found[k][0] < stop:
+                mine.append(found[k])
+                stop = max(stop, found[k][1])
+                k += 1
+            counts = [len(f[3]) for f in mine]
+            yield (
+                size, first, shingles[first:stop].tobytes(), np.repeat([f[2] for f in mine], counts).astype(np.int32),
+                np.repeat([f[0] - first for f in mine], counts).astype(np.int32), np.concatenate([f[3] for f in mine]),
+            )
+
+
+STRETCHES = "k1 bigint, k2 bigint, size int, first int, shingles binary, n array<int>, start array<int>, key array<bigint>"
+
+
+def text_keys(text: Column) -> tuple[Column, Column]:
+    """Two hashes that stand for a text."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
+def find_windows(docs: DataFrame, seeker: Seeker, text_col: str, short_anywhere: bool) -> DataFrame:
+    """``STRETCHES`` of texts with windows that share a block with an item."""
+    shared = docs.sparkSession.sparkContext.broadcast(seeker)
+    k1, k2 = text_keys(F.col(text_col))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for text in batch.column(text_col):
-                leaks = items.leaks(text.as_py(), short_anywhere)
-                found.append(
-                    [
-                        {"item_id": items.ids[k], "similarity": s, "word": at}
-                        for k, (s, at) in sorted(leaks.items(), key=lambda x: items.ids[x[0]])
-                    ]
-                )
-            rows = batch.select(kept)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, arrow)], names=[*kept, "leaks"])
+            keys, rows = [], []
+            for k, text in enumerate(batch.column("text")):
+                for row in shared.value.windows(text.as_py(), short_anywhere):
+                    keys.append(k)
+                    rows.append(row)
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()))
+            arrays = [pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [[]] * 6, kinds, strict=True)]
+            at = pa.array(keys, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("k1").take(at), batch.column("k2").take(at), *arrays],
+                names=["k1", "k2", "size", "first", "shingles", "n", "start", "key"],
+            )
+
+    return docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text_col).alias("text")).mapInArrow(over, STRETCHES)
+
+
+VERIFIED = "k1 bigint, k2 bigint, similarity double, word int"
+
+
+def verify(candidates: DataFrame) -> DataFrame:
+    """The best window of each candidate at the threshold: exact weighted similarity."""
+    kind = candidates.schema["item_id"].dataType
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, rows = [], []
+            columns = (batch.column(c).to_pylist() for c in ("first", "shingles", "item", "starts"))
+            for k, (first, stretch, item, starts) in enumerate(zip(*columns, strict=True)):
+                item, stretch = np.frombuffer(item, np.uint64), np.frombuffer(stretch, np.uint64)
+                want, best = Counter(item.tolist()), (0.0, 0)
+                for start in sorted(starts):
+                    window = stretch[start : start + len(item)]
+                    both = sum((want & Counter(window.tolist())).values())
+                    best = max(best, (both / (len(item) + len(window) - both), -start))
+                if best[0] >= THRESHOLD:
+                    kept.append(k)
+                    rows.append((best[0], first - best[1]))
+            at = pa.array(kept, pa.int64())
+            similarity, word = zip(*rows, strict=True) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c).take(at) for c in ("item_id", "k1", "k2")),
+                    pa.array(similarity, pa.float64()),
+                    pa.array(word, pa.int32()),
+                ],
+                names=["item_id", "k1", "k2", "similarity", "word"],
+            )
 
-    return docs.mapInArrow(over, schema)
+    schema = T.StructType([T.StructField("item_id", kind), *T.StructType.fromDDL(VERIFIED)])
+    return candidates.select("item_id", "k1", "k2", "first", "shingles", "item", "starts").mapInArrow(over, schema)
+
+
+def text_leaks(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", short_anywhere: bool = True, bits: int = BITS
+) -> DataFrame:
+    """k1, k2 (keys of a text), and the items it holds as ``leaks``; clean texts are left out."""
+    items = settled(index_items(benchmark, bits))
+    lengths: dict[int, list[int]] = {}
+    for row in items.select("size", "n").distinct().collect():  # lengths of items, not items
+        lengths.setdefault(row["size"], []).append(row["n"])
+    lengths = {size: sorted(all_n) for size, all_n in sorted(lengths.items())}
+    seeker = Seeker(lengths, bit_table(items, "values"), bit_table(items, "keys"), bits)
+    stretches = settled(
+        find_windows(docs, seeker, text_col, short_anywhere).dropDuplicates(["k1", "k2", "size", "first"])
+    )
+    stretch = ["k1", "k2", "size", "first"]
+    seen = stretches.select(*stretch, F.explode(F.arrays_zip("n", "start", "key")).alias("w")).select(*stretch, "w.*")
+    keyed = items.select("item_id", "row", "size", "n", F.explode("keys").alias("key"))
+    candidates = (
+        seen.join(keyed, ["key", "size", "n"])
+        .groupBy(*stretch, "item_id", "row", "n")
+        .agg(F.collect_set("start").alias("starts"))
+    )
+    whole = items.select("item_id", "row", "n", F.col("shingles").alias("item")).dropDuplicates(["item_id", "row", "n"])
+    same = F.col("c.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("c.row") == F.col("i.row")) & (F.col("c.n") == F.col("i.n"))
+    candidates = candidates.alias("c").join(whole.alias("i"), same).select("c.*", "i.item")
+    found = verify(candidates.join(stretches.select(*stretch, "shingles"), stretch))
+    best = found.groupBy("k1", "k2", "item_id").agg(
+        F.max(F.struct("similarity", (-F.col("word")).alias("before"))).alias("best")
+    )
+    leak = F.struct(
+        "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.before")).alias("word")
+    )
+    return best.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(leak)).alias("leaks"))
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", short_anywhere: bool = True
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    short_anywhere: bool = True,
+    bits: int = BITS,
 ) -> DataFrame:
     """``docs`` with ``leaks``: the items each one holds, with similarity and place."""
-    found = docs
-    for k, items in enumerate(blocks(benchmark)):
-        if k == 0:
-            found = _with_leaks(docs, items, text_col, short_anywhere)
-        elif items.ids:  # a pass over the rows with the answers so far
-            before = found.withColumnRenamed("leaks", "_before")
-            more = _with_leaks(before, items, text_col, short_anywhere)
-            found = more.withColumn("leaks", F.array_sort(F.concat("_before", "leaks"))).drop("_before")
-    return found
+    columns = [c for c in docs.columns if c != "leaks"]
+    docs = docs.select(*columns)
+    leaks = text_leaks(docs, benchmark, text_col, short_anywhere, bits)
+    names = unused([*columns, "leaks"], "k1", "k2")
+    found = leaks.select(F.col("k1").alias(names[0]), F.col("k2").alias(names[1]), "leaks")
+    keyed = docs.select("*", *[k.alias(c) for k, c in zip(text_keys(F.col(text_col)), names, strict=True)])
+    none = F.array().cast(leaks.schema["leaks"].dataType)
+    return keyed.join(found, names, "left").select(*columns, F.coalesce("leaks", none).alias("leaks"))
 
 
 def decontaminate(
@@ -248,8 +334,12 @@ def decontaminate(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
     columns = [c for c in docs.columns if c != "leaks"]
-    found = find_leaks(docs.select(*columns), benchmark, text_col, short_anywhere)
-    return found.where(F.size("leaks") == 0).select(*columns)
+    docs = docs.select(*columns)
+    leaks = text_leaks(docs, benchmark, text_col, short_anywhere)
+    names = unused(columns, "k1", "k2")
+    keyed = docs.select("*", *[k.alias(c) for k, c in zip(text_keys(F.col(text_col)), names, strict=True)])
+    found = leaks.select(F.col("k1").alias(names[0]), F.col("k2").alias(names[1]))
+    return keyed.join(found, names, "left_anti").select(*columns)
 
 
 def short_items(benchmark: DataFrame) -> DataFrame:

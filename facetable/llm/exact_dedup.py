@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetable.llm.tables import settled
+from facetable.llm.tables import settled, unused
 
 #: Runs that one round merges into one, and rounds: 4096 slices.
 FAN = 16
@@ -39,18 +39,6 @@ ROUNDS = 3
 RESULTS = ("keep_id", "group_size", "kept", "text_sha256")
 
 
-def unused(taken: list[str], *names: str) -> list[str]:
-    """The names, each with as many underscores as make it new."""
-    lower = {c.lower() for c in taken}
-    out = []
-    for name in names:
-        while name.lower() in lower:
-            name += "_"
-        out.append(name)
-        lower.add(name.lower())
-    return out
-
-
 def merge_round(runs: DataFrame, keep: Column, fan: int = FAN) -> DataFrame:
     """Merge ``fan`` neighbouring runs; ``runs`` has (run, digest, bytes, check, keep, rows)."""
     return runs.groupBy(

@@ -69,6 +69,18 @@ def fixed(value: Column) -> Column:
     return F.when(F.monotonically_increasing_id() >= 0, value)  # always so, and never moved
 
 
+def unused(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores as make it new."""
+    lower = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in lower:
+            name += "_"
+        out.append(name)
+        lower.add(name.lower())
+    return out
+
+
 def partitions(spark: SparkSession) -> int:
     """The number of shuffle partitions the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

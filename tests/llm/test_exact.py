@@ -245,14 +245,6 @@ def test_leaks(spark, data):
     assert {r.doc_id for r in clean} == {d for d, found in expected.items() if not found}
 
 
-def test_leaks_in_blocks(spark, data, monkeypatch):
-    docs = spark.read.parquet(f"{data}/documents.parquet")
-    bench = spark.read.parquet(f"{data}/benchmark.parquet")
-    whole = spark_bag(decontaminate.find_leaks(docs, bench))
-    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 15)
-    assert spark_bag(decontaminate.find_leaks(docs, bench)) == whole
-
-
 def test_short_items_match_only_whole_texts(spark, tmp_path):
     items = [(1, "Yes"), (2, "New York!"), (3, "one two three four five six"), (4, "- "), (5, None)]
     texts = ["yes, it is", "Yes.", "we like New York a lot", "new york", "x one two three four five six x", "", None]
@@ -269,27 +261,93 @@ def test_short_items_match_only_whole_texts(spark, tmp_path):
     assert sorted(map(tuple, short)) == [(1, 1), (2, 2)]
 
 
-def test_no_leak_depends_on_the_radius(monkeypatch):
-    monkeypatch.setattr(decontaminate, "RADIUS", 0)
-    passage = " ".join(f"w{k}" for k in range(60))
-    items = decontaminate.Items([(7, passage), (8, f"{passage} end"), (9, passage)])
-    text = f"before {passage.replace('w30', 'other')} behind"
-    assert {items.ids[k] for k in items.leaks(text)} == {7, 8, 9} == brute.leaks(
-        text, [(7, passage), (8, f"{passage} end"), (9, passage)]
-    )
+def edited(rng, words):
+    """A passage with words replaced, dropped or put in, or cut at an end."""
+    words = list(words)
+    for _ in range(rng.choice([1, 1, 2, 3])):
+        at, kind = rng.randrange(len(words)), rng.randrange(4)
+        if kind == 0:
+            words[at] = "zzz"
+        elif kind == 1:
+            del words[at]
+        elif kind == 2:
+            words.insert(at, "yyy")
+        else:
+            cut = rng.randrange(1, 2 + len(words) // 8)
+            words = words[cut:] if at % 2 else words[:-cut]
+    return words
+
+
+def leak_pairs(spark, bench, docs, **options):
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    rows = decontaminate.find_leaks(frame, bench, **options).collect()
+    return {(r.doc_id, x.item_id) for r in rows for x in r.leaks}
+
+
+def test_recall_of_edited_passages_rests_on_the_blocks(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(400)]
+    passages = [[rng.choice(vocabulary) for _ in range(rng.randint(12, 90))] for _ in range(40)]
+    items = [(k, " ".join(p)) for k, p in enumerate(passages)]
+    docs = []
+    for k in range(600):
+        around = [rng.choice(vocabulary) for _ in range(60)]
+        docs.append((k, " ".join(around[:30] + edited(rng, rng.choice(passages)) + around[30:])))
+    want = {(d, i) for d, t in docs for i in brute.leaks(t, items)}
+    assert 150 < len(want) < 500  # the others are below the threshold
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = leak_pairs(spark, bench, docs)
+    assert got <= want and len(got) >= 0.99 * len(want)
+    # With fewer bits there are fewer blocks, and passages are missed.
+    fewer = leak_pairs(spark, bench, docs, bits=64)
+    assert fewer < got and len(fewer) < 0.97 * len(want)
 
 
-def test_block_index_finds_all_within_the_radius():
-    import numpy as np
+def test_windows_of_fingerprints_equal_one_by_one():
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 1 << 62, 80).astype(np.uint64)[rng.integers(0, 80, 300)]
+    starts = np.array([0, 3, 17, 260])
+    found = decontaminate.fingerprints(words, starts, 40)
+    for row, start in zip(found, starts, strict=True):
+        alone = decontaminate.fingerprints(words[start : start + 40], np.zeros(1, np.int64), 40)
+        assert row.tolist() == alone[0].tolist()
+
 
+def test_fingerprints_within_the_radius_share_a_block():
     rng = np.random.default_rng(0)
-    prints = rng.integers(0, 2, (400, decontaminate.BITS)).astype(np.uint8)
-    index = decontaminate.BlockIndex(prints)
-    for k in range(200):
-        row = prints[k].copy()
-        row[rng.choice(decontaminate.BITS, rng.integers(0, 60), replace=False)] ^= 1
-        near = np.flatnonzero((prints != row).sum(axis=1) <= decontaminate.RADIUS)
-        assert sorted(index.within(row).tolist()) == near.tolist()
+    bits = rng.integers(0, 2, decontaminate.BITS).astype(np.uint8)
+    radius = decontaminate.BITS // decontaminate.WIDTH - 1
+    mine = decontaminate.block_keys(np.packbits(bits)[None], 5, 40)[0]
+    for _ in range(200):
+        other = bits.copy()
+        other[rng.choice(decontaminate.BITS, radius, replace=False)] ^= 1
+        assert np.isin(decontaminate.block_keys(np.packbits(other)[None], 5, 40)[0], mine).any()
+    assert not np.isin(decontaminate.block_keys(np.packbits(bits)[None], 5, 41)[0], mine).any()
+
+
+def test_plan_does_not_grow_with_the_items(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    bench = spark.read.parquet(f"{data}/benchmark.parquet")
+    copies = bench.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(99))))
+    many = copies.select((F.col("item_id") + F.col("k") * 1000).alias("item_id"), F.concat("text", F.lit(" w"), "k").alias("text"))
+
+    def nodes(items):
+        plan = decontaminate.find_leaks(docs, items)._jdf.queryExecution().optimizedPlan().toString()
+        return len(plan.splitlines())
+
+    assert nodes(bench) == nodes(many)
+
+
+def test_items_without_an_id_and_of_one_id(spark):
+    passage = " ".join(f"w{k}" for k in range(30))
+    other = " ".join(f"v{k}" for k in range(30))
+    items = [(None, passage), (7, passage), (7, passage), (8, other), (8, f"{other} end"), (9, "- ")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = [(1, f"before {passage} behind"), (2, f"{other} end"), (3, f"x {other} x {other} end"), (4, "w1 w2")]
+    rows = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), bench).collect()
+    assert {r.doc_id: [(x.item_id, x.similarity, x.word) for x in r.leaks] for r in rows} == {
+        1: [(None, 1.0, 1), (7, 1.0, 1)], 2: [(8, 1.0, 0)], 3: [(8, 1.0, 1)], 4: []
+    }
 
 
 # Sharding
