@@ -1,7 +1,9 @@
 """Reading a table by SQL or by document query, and writing it out."""
 
+from facetable.operators.asof import asof_join
 from facetable.operators.document import document_query
 from facetable.operators.export import LOSSLESS_CSV, export_csv, export_table, read_staged
+from facetable.operators.ranges import slice_by_range
 from facetable.operators.select import (
     describe,
     describe_frame,
@@ -10,10 +12,12 @@ from facetable.operators.select import (
     project_filter,
     query_table,
 )
+from facetable.operators.sessions import sessions
 from facetable.operators.sql import run_sql
 
 __all__ = [
     "LOSSLESS_CSV",
+    "asof_join",
     "describe",
     "describe_frame",
     "document_query",
@@ -25,4 +29,6 @@ __all__ = [
     "query_table",
     "read_staged",
     "run_sql",
+    "sessions",
+    "slice_by_range",
 ]

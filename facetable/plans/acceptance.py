@@ -173,71 +173,42 @@ ACCEPTANCE["sql_grouping_sets"] = (
     """,
 )
 
-# The place of every order among its customer's, dearest first.  Orders of a hot
-# customer are ranked within pieces and moved down by the orders before them.  The
-# pieces come from three digits, coarse to fine: a band of 100 in price, the price,
-# and 4096 neighbouring order keys.  So one price, no price or NaN on all orders of one
-# customer, which may be NULL, still makes many pieces.  Only counts per piece are
-# gathered, each sum over the pieces of one digit before it.
+# Views of a table in slices of a total order (operators.slice_by_range), by text:
+# the view, the table, its columns and the order.
+SLICED = {
+    "sql_window_rank": (
+        "sliced_orders", "orders", ["o_custkey", "o_orderkey", "o_totalprice"],
+        ["o_custkey", "o_totalprice DESC", "o_orderkey"],
+    ),
+    "sql_window_frame": (
+        "sliced_events", "events", ["event_id", "user_id", "ts", "value"], ["user_id", "ts", "event_id"],
+    ),
+}
+
+# The place of every order among its customer's, dearest first.  Rows are placed within
+# their slice and moved down by the orders of that customer in the slices before, which
+# is one row per slice at most: only one customer reaches into a slice from the one before.
 ACCEPTANCE["sql_window_rank"] = (
-    ("orders",),
+    (),
     """
-    WITH keys AS (
-      SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey
-    ), hot AS (
-      SELECT o_custkey AS hot_key, TRUE AS is_hot FROM keys
-      WHERE orders > (SELECT sum(orders) FROM keys) / 10000
-    ), cut AS (
-      SELECT /*+ BROADCAST(hot) */ o_custkey, o_orderkey, o_totalprice,
-             coalesce(is_hot, FALSE) AS is_hot,
-             CASE WHEN NOT coalesce(is_hot, FALSE) THEN 0
-                  WHEN isnan(o_totalprice) THEN 9223372036854775807
-                  ELSE coalesce(floor(o_totalprice / 100), -9223372036854775808L)
-             END AS band,
-             CASE WHEN is_hot THEN o_totalprice END AS price,
-             CASE WHEN is_hot THEN floor(o_orderkey / 4096) ELSE 0 END AS piece
-      FROM orders LEFT JOIN hot ON o_custkey <=> hot_key
-    ), pieces AS (
-      SELECT o_custkey, band, price, piece, count(*) AS orders
-      FROM cut WHERE is_hot GROUP BY o_custkey, band, price, piece
-    ), prices AS (
-      SELECT o_custkey, band, price, sum(orders) AS orders
-      FROM pieces GROUP BY o_custkey, band, price
-    ), bands AS (
-      SELECT o_custkey, band, sum(orders) AS orders FROM prices GROUP BY o_custkey, band
-    ), before_band AS (
-      SELECT o_custkey, band, sum(orders) OVER (
-               PARTITION BY o_custkey ORDER BY band DESC
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS orders
-      FROM bands
-    ), before_price AS (
-      SELECT o_custkey, band, price, sum(orders) OVER (
-               PARTITION BY o_custkey, band ORDER BY price DESC
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS orders
-      FROM prices
-    ), before_piece AS (
-      SELECT o_custkey, band, price, piece, sum(orders) OVER (
-               PARTITION BY o_custkey, band, price ORDER BY piece
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS orders
-      FROM pieces
+    WITH counts AS (
+      SELECT o_custkey, slice, count(*) AS orders FROM sliced_orders GROUP BY o_custkey, slice
     ), before AS (
-      SELECT c.o_custkey AS b_key, c.band AS b_band, c.price AS b_price, c.piece AS b_piece,
-             coalesce(a.orders, 0) + coalesce(b.orders, 0) + coalesce(c.orders, 0) AS ahead
-      FROM before_piece AS c
-      JOIN before_price AS b
-        ON c.o_custkey <=> b.o_custkey AND c.band = b.band AND c.price <=> b.price
-      JOIN before_band AS a ON c.o_custkey <=> a.o_custkey AND c.band = a.band
+      SELECT o_custkey AS b_key, slice AS b_slice, sum(orders) OVER (
+               PARTITION BY o_custkey ORDER BY slice
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ahead
+      FROM counts
+    ), reached AS (
+      SELECT b_key, b_slice, ahead FROM before WHERE ahead IS NOT NULL
     ), placed AS (
-      SELECT o_custkey, o_orderkey, o_totalprice, is_hot, band, price, piece,
+      SELECT o_custkey, o_orderkey, o_totalprice, slice,
              row_number() OVER (
-               PARTITION BY o_custkey, band, price, piece
-               ORDER BY o_totalprice DESC, o_orderkey) AS place
-      FROM cut
+               PARTITION BY o_custkey, slice ORDER BY o_totalprice DESC, o_orderkey) AS place
+      FROM sliced_orders
     )
-    SELECT o_custkey, o_orderkey, o_totalprice, place + coalesce(ahead, 0) AS place
-    FROM placed LEFT JOIN before
-      ON is_hot AND o_custkey <=> b_key AND band = b_band AND price <=> b_price
-         AND piece = b_piece
+    SELECT /*+ BROADCAST(reached) */ o_custkey, o_orderkey, o_totalprice,
+           place + coalesce(ahead, 0) AS place
+    FROM placed LEFT JOIN reached ON o_custkey <=> b_key AND slice = b_slice
     """,
 )
 
@@ -258,55 +229,22 @@ ACCEPTANCE["sql_window_top"] = (
 )
 
 # Per user, in order of time: the value before, and the sum of a value and the
-# two before it.  Events of a hot user are cut by minute, and each slice is lent
-# the two events before it.  Those are among the last two of the slices before,
-# so only two events per slice are gathered per user to find them.  A minute that is
-# hot itself is cut by time, and a time that is hot by 4096 neighbouring event ids;
-# no time counts as one time, before all others.
+# two before it.  Each slice is lent the two events before it, which are among the last
+# two of its user's slices before.  Only users in several slices have such, fewer than
+# there are slices.
 ACCEPTANCE["sql_window_frame"] = (
-    ("events",),
+    (),
     """
-    WITH minutes AS (
-      SELECT user_id, unix_micros(CAST(date_trunc('MINUTE', ts) AS TIMESTAMP)) AS minute,
-             count(*) AS events
-      FROM events GROUP BY ALL
-    ), few AS (
-      SELECT sum(events) / 10000 AS few FROM minutes
-    ), hot AS (
-      SELECT user_id AS hot_key, TRUE AS is_hot FROM minutes
-      GROUP BY user_id HAVING sum(events) > (SELECT few FROM few)
-    ), hot_minutes AS (
-      SELECT user_id AS minute_key, minute AS hot_minute, TRUE AS is_hot_minute FROM minutes
-      WHERE events > (SELECT few FROM few)
-    ), timed AS (
-      SELECT /*+ BROADCAST(hot), BROADCAST(hot_minutes) */ event_id, user_id, ts, value,
-             coalesce(is_hot, FALSE) AS is_hot,
-             coalesce(is_hot_minute, FALSE) AS is_hot_minute,
-             unix_micros(CAST(ts AS TIMESTAMP)) AS micros,
-             unix_micros(CAST(date_trunc('MINUTE', ts) AS TIMESTAMP)) AS minute
-      FROM events
-      LEFT JOIN hot ON user_id <=> hot_key
-      LEFT JOIN hot_minutes
-        ON user_id <=> minute_key
-           AND unix_micros(CAST(date_trunc('MINUTE', ts) AS TIMESTAMP)) <=> hot_minute
-    ), hot_times AS (
-      SELECT user_id AS time_key, micros AS hot_micros, TRUE AS is_hot_time FROM timed
-      WHERE is_hot_minute GROUP BY user_id, micros
-      HAVING count(*) > (SELECT few FROM few)
-    ), sliced AS (
-      SELECT /*+ BROADCAST(hot_times) */ event_id, user_id, ts, value, is_hot,
-             struct(
-               CASE WHEN is_hot THEN minute END AS minute,
-               CASE WHEN is_hot_minute THEN micros END AS time,
-               CASE WHEN is_hot_time THEN floor(event_id / 4096) END AS piece) AS slice
-      FROM timed LEFT JOIN hot_times ON user_id <=> time_key AND micros <=> hot_micros
+    WITH spans AS (
+      SELECT user_id AS span_key FROM sliced_events
+      GROUP BY user_id HAVING min(slice) < max(slice)
     ), tails AS (
       SELECT user_id, slice, event_id, ts, value
       FROM (
-        SELECT user_id, slice, event_id, ts, value,
+        SELECT /*+ BROADCAST(spans) */ user_id, slice, event_id, ts, value,
                row_number() OVER (
                  PARTITION BY user_id, slice ORDER BY ts DESC, event_id DESC) AS from_end
-        FROM sliced WHERE is_hot
+        FROM sliced_events JOIN spans ON user_id <=> span_key
       ) AS placed
       WHERE from_end <= 2
     ), looks AS (
@@ -318,7 +256,7 @@ ACCEPTANCE["sql_window_frame"] = (
     ), lent AS (
       SELECT user_id, slice,
              inline(filter(array(one_before, two_before), event -> event IS NOT NULL))
-      FROM looks WHERE NOT slice_before <=> slice AND slice_before IS NOT NULL
+      FROM looks WHERE slice_before < slice
     ), framed AS (
       SELECT event_id, user_id, is_lent,
              sum(value) OVER (
@@ -326,7 +264,7 @@ ACCEPTANCE["sql_window_frame"] = (
                ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS sum3,
              lag(value) OVER (PARTITION BY user_id, slice ORDER BY ts, event_id) AS previous
       FROM (
-        SELECT event_id, user_id, ts, value, slice, FALSE AS is_lent FROM sliced
+        SELECT event_id, user_id, ts, value, slice, FALSE AS is_lent FROM sliced_events
         UNION ALL
         SELECT event_id, user_id, ts, value, slice, TRUE FROM lent
       ) AS extended

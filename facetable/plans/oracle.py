@@ -156,6 +156,28 @@ ORACLE: dict[str, str] = {
         SELECT o_custkey, round(total, 3) AS total FROM totals
         WHERE total > (SELECT avg(total) FROM totals)
     """,
+    "asof_purchases": """
+        WITH purchases AS (
+          SELECT user_id, ts, max(event_id) AS purchase_id, arg_max(value, event_id) AS value
+          FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts
+        )
+        SELECT e.event_id, e.user_id, e.event_type, e.ts,
+               p.purchase_id, p.ts AS purchased, p.value
+        FROM events AS e ASOF LEFT JOIN purchases AS p ON e.user_id = p.user_id AND e.ts > p.ts
+    """,
+    "session_events": """
+        WITH steps AS (
+          SELECT user_id, ts, value, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS step
+          FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+        ), numbered AS (
+          SELECT user_id, ts, value, sum(step) OVER (
+                   PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS number
+          FROM steps
+        )
+        SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_rows,
+               round(sum(value), 3) AS total, max(value) AS largest
+        FROM numbered WHERE ts IS NOT NULL GROUP BY user_id, number
+    """,
     "sql_window_rank": """
         SELECT o_custkey, o_orderkey, o_totalprice,
                row_number() OVER (

@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetable.functions.envelope import parse_json
 from facetable.operators import (
     LOSSLESS_CSV,
+    asof_join,
     describe,
     document_query,
     export_csv,
@@ -23,8 +24,10 @@ from facetable.operators import (
     project_filter,
     read_staged,
     run_sql,
+    sessions,
+    slice_by_range,
 )
-from facetable.plans.acceptance import ACCEPTANCE, ARGUMENTS
+from facetable.plans.acceptance import ACCEPTANCE, ARGUMENTS, SLICED
 from facetable.plans.expose import open_table
 from facetable.plans.tables import TABLES
 from facetable.session import scratch_database, scratch_path
@@ -330,9 +333,19 @@ def _acceptance(spark: SparkSession, folder: str, name: str) -> DataFrame:
     tables, text = ACCEPTANCE[name]
     for table in tables:
         parquet_view(spark, table_path(folder, table), table)
+    if name in SLICED:
+        view, table, columns, order = SLICED[name]
+        rows = _input(spark, folder, table).select(*columns)
+        slice_by_range(rows, list(map(_ordered, order))).createOrReplaceTempView(view)
     return run_sql(spark, text, ARGUMENTS.get(name))
 
 
+def _ordered(item: str) -> Column:
+    """An item of an ORDER BY, with Spark's order of NULLs."""
+    name, _, down = item.partition(" ")
+    return F.col(name).desc() if down else F.col(name).asc()
+
+
 def sql_ddl_dml(spark: SparkSession, folder: str) -> DataFrame:
     """CREATE TABLE AS and INSERT INTO by SQL, then a query on the result."""
     database = scratch_database(spark, "ddl")
@@ -350,6 +363,30 @@ def sql_ddl_dml(spark: SparkSession, folder: str) -> DataFrame:
     return run_sql(spark, f"SELECT o_orderkey, o_totalprice FROM {database}.open_orders;")
 
 
+# Ordered work on keys of any size
+
+
+def asof_purchases(spark: SparkSession, folder: str) -> DataFrame:
+    """Each event with the latest purchase of its user before it."""
+    events = _input(spark, folder, "events").select("event_id", "user_id", "event_type", "ts")
+    purchases = _input(spark, folder, "events").where("event_type = 'purchase'").select(
+        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchased"), "value"
+    )
+    return asof_join(
+        events, purchases, ["user_id"], "ts", "purchased", ["purchase_id", "purchased", "value"],
+        ties=["purchase_id"], same_time=False,
+    )
+
+
+def session_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions of each user, with pauses below half an hour."""
+    found = sessions(
+        _input(spark, folder, "events"), ["user_id"], "ts", 1800,
+        {"total": ("sum", "value"), "largest": ("max", "value")},
+    )
+    return found.withColumn("total", F.round("total", 3))
+
+
 QUERIES: dict[str, Query] = {
     "project_filter": project_filter_query,
     "project_filter_multi": project_filter_multi,
@@ -378,5 +415,7 @@ QUERIES: dict[str, Query] = {
     "expose_gql": expose_gql,
     "expose_event": expose_event,
     "sql_ddl_dml": sql_ddl_dml,
+    "asof_purchases": asof_purchases,
+    "session_events": session_events,
     **{name: partial(_acceptance, name=name) for name in ACCEPTANCE},
 }

@@ -4,21 +4,21 @@ import datetime
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
-from facetable.plans.acceptance import ACCEPTANCE
+from facetable.operators import slice_by_range
+from facetable.plans.acceptance import ACCEPTANCE, SLICED
+from facetable.plans.registry import _ordered
 
 NAN = float("nan")
 ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double"
 EVENTS = "event_id long, user_id long, ts timestamp_ntz, value double"
 
 
-def run(spark, name, rows, schema, table, ending=None):
-    """A text on some rows; ``ending`` takes the place of its last SELECT."""
+def run(spark, name, rows, schema, table):
+    """A text on some rows."""
     spark.createDataFrame(rows, schema).createOrReplaceTempView(table)
-    text = ACCEPTANCE[name][1]
-    if ending:
-        text = text[: text.rindex("\n    SELECT")] + ending
-    return spark.sql(text)
+    return spark.sql(ACCEPTANCE[name][1])
 
 
 def test_small_values_are_summed(spark):
@@ -46,19 +46,36 @@ def ranks(rows):
     return places
 
 
+SLICES = 16
+
+
+def run_sliced(spark, name, rows, schema):
+    """A text on rows that are cut into many slices; all groups of its windows are small."""
+    view, _, columns, order = SLICED[name]
+    frame = spark.createDataFrame(rows, schema).select(*columns)
+    sliced = slice_by_range(frame, list(map(_ordered, order)), SLICES)
+    sliced.createOrReplaceTempView(view)
+    key = columns[1] if name == "sql_window_frame" else columns[0]
+    per_slice = sliced.groupBy(key, "slice").count()
+    assert per_slice.agg(F.max("count")).first()[0] <= 3 * len(rows) / SLICES
+    assert per_slice.groupBy(key).count().agg(F.max("count")).first()[0] <= SLICES
+    return spark.sql(ACCEPTANCE[name][1])
+
+
 @pytest.mark.parametrize("customer", [7, None])
 @pytest.mark.parametrize("price", [50.0, None, NAN])
 def test_rank_is_right_and_split(spark, customer, price):
     rows = [(i, customer, "O", price) for i in range(20000)]
     rows += [(20000 + i, customer, "O", x) for i, x in enumerate([NAN, 1.0, None, -3.5, 1e300, -1e300, math.inf])]
     rows += [(30000 + i, 8 + i, "O", 1.0) for i in range(50)]
-    got = run(spark, "sql_window_rank", rows, ORDERS, "orders").collect()
+    got = run_sliced(spark, "sql_window_rank", rows, ORDERS).collect()
+    assert {r.o_orderkey: r.place for r in got} == ranks(rows)
+
+
+def test_rank_of_distinct_prices_in_one_band(spark):
+    rows = [(i, 7, "O", 50.0 + i / 1000) for i in range(20000)]
+    got = run_sliced(spark, "sql_window_rank", rows, ORDERS).collect()
     assert {r.o_orderkey: r.place for r in got} == ranks(rows)
-    sizes = run(
-        spark, "sql_window_rank", rows, ORDERS, "orders",
-        "\n    SELECT max(n) FROM (SELECT count(*) AS n FROM cut GROUP BY o_custkey, band, price, piece)",
-    )
-    assert sizes.first()[0] <= 4097
 
 
 def frames(rows):
@@ -79,10 +96,23 @@ def test_frame_is_right_and_split(spark, user, when):
     rows = [(i, user, when, float(i % 13)) for i in range(20000)]
     rows += [(20000 + i, user, datetime.datetime(2024, 1, 1, 10, 0, i % 60), 2.0) for i in range(300)]
     rows += [(30000, user, far, 5.0), (30001, 1, far, 6.0), (30002, 1, None, 1.0)]
-    got = run(spark, "sql_window_frame", rows, EVENTS, "events").collect()
+    got = run_sliced(spark, "sql_window_frame", rows, EVENTS).collect()
+    assert {r.event_id: (r.sum3, r.previous) for r in got} == frames(rows)
+
+
+def test_frame_of_distinct_times_in_one_minute(spark):
+    start = datetime.datetime(2024, 1, 1, 10)
+    rows = [(i, 7, start + datetime.timedelta(milliseconds=2 * i), float(i % 13)) for i in range(20000)]
+    got = run_sliced(spark, "sql_window_frame", rows, EVENTS).collect()
+    assert {r.event_id: (r.sum3, r.previous) for r in got} == frames(rows)
+
+
+def test_frame_over_slices_of_one_or_no_event(spark):
+    """What is lent may come from several slices before."""
+    start = datetime.datetime(2024, 1, 1, 10)
+    rows = [(i, 7, start + datetime.timedelta(seconds=i), float(i)) for i in range(9)] + [(99, 8, start, 1.0)]
+    frame = spark.createDataFrame(rows, EVENTS)
+    cut = frame.withColumn("slice", F.when(F.col("user_id") == 8, 99).otherwise(F.col("event_id") * 3).cast("int"))
+    cut.createOrReplaceTempView("sliced_events")
+    got = spark.sql(ACCEPTANCE["sql_window_frame"][1]).collect()
     assert {r.event_id: (r.sum3, r.previous) for r in got} == frames(rows)
-    sizes = run(
-        spark, "sql_window_frame", rows, EVENTS, "events",
-        "\n    SELECT max(n) FROM (SELECT count(*) AS n FROM sliced GROUP BY user_id, slice)",
-    )
-    assert sizes.first()[0] <= 4096 + 10
