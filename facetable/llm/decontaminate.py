@@ -55,8 +55,8 @@ BITS = 1024
 WIDTH = 16
 #: Bits of a table of shingles or keys: so many for each, and never more than these.
 BITS_EACH, TABLE_BITS = 256, 1 << 26
-#: Windows whose fingerprints are made together.
-TOGETHER = 512
+#: First words of windows whose fingerprints are made together.
+TOGETHER = 4096
 
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -69,13 +69,18 @@ def normal_words(text: str | None) -> np.ndarray:
     return word_hashes(data, starts, ends)
 
 
-def fingerprints(words: np.ndarray, starts: np.ndarray, length: int, bits: int = BITS) -> np.ndarray:
-    """SimHash of the windows of ``length`` words that begin at ``starts``, as bytes."""
+def bit_sums(words: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """For each prefix of a list of words, the sums of their bits as +1 and -1."""
     values, back = np.unique(words, return_inverse=True)
     parts = [mix(values + np.uint64(k + 1) * _STEP) for k in range(bits // 64)]
     signs = np.unpackbits(np.stack(parts, axis=1).view(np.uint8), axis=1).astype(np.int32) * 2 - 1
     sums = np.zeros((len(words) + 1, bits), dtype=np.int32)
     np.cumsum(signs[back], axis=0, out=sums[1:])
+    return sums
+
+
+def fingerprints(sums: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """SimHash of the windows of ``length`` words that begin at ``starts``, as bytes."""
     return np.packbits(sums[starts + length] > sums[starts], axis=1)
 
 
@@ -108,7 +113,7 @@ def index_items(benchmark: DataFrame, bits: int = BITS) -> DataFrame:
                     continue
                 shingles = window_hashes(words)
                 size, n = min(SIZE, len(words)), len(shingles)
-                keys = block_keys(fingerprints(words, np.zeros(1, np.int64), len(words), bits), size, n)
+                keys = block_keys(fingerprints(bit_sums(words, bits), np.zeros(1, np.int64), len(words)), size, n)
                 values = np.unique(shingles).view(np.int64)
                 row = int(mix(np.array([np.bitwise_xor.reduce(mix(shingles + np.arange(n, dtype=np.uint64)))]))[0] >> np.uint64(1))
                 kept.append(k)
@@ -163,7 +168,7 @@ class Seeker:
             if total < least_shared(lengths[0], min(lengths[0], len(shingles))):
                 continue
             held = np.append(0, np.cumsum(hit))
-            found = []
+            parts: list[tuple[np.ndarray, int, int]] = []
             for n in lengths:
                 window = min(n, len(shingles))
                 need = least_shared(n, window)
@@ -175,24 +180,35 @@ class Seeker:
                 if window == 1:  # one place of each shingle says all
                     starts = starts[np.unique(shingles[starts], return_index=True)[1]]
                     starts.sort()
-                found += self._known(words, starts, n, window, size)
-            yield from self._stretches(found, shingles, size)
+                if len(starts):
+                    parts.append((starts, n, window))
+            if parts:
+                yield from self._stretches(list(self._known(words, parts, size)), shingles, size)
 
-    def _known(self, words: np.ndarray, starts: np.ndarray, n: int, window: int, size: int) -> Iterator[tuple]:
+    def _known(self, words: np.ndarray, parts: list[tuple[np.ndarray, int, int]], size: int) -> Iterator[tuple]:
         """(start, stop, n, keys) of the windows with keys of items."""
-        length = window + size - 1
+        start = np.concatenate([p[0] for p in parts])
+        which = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+        order = np.argsort(start, kind="stable")
+        start, which = start[order], which[order]
+        length = np.array([p[2] for p in parts])[which] + size - 1
+        reach = np.maximum.accumulate(start + length)
         at = 0
-        while at < len(starts):
-            # Windows that lie near each other, a bounded number.
-            some = starts[at : at + TOGETHER]
-            far = np.flatnonzero(np.diff(some) > length)
-            some = some[: far[0] + 1] if len(far) else some
-            at += len(some)
-            part = words[some[0] : some[-1] + length]
-            keys = block_keys(fingerprints(part, some - some[0], length, self.bits), size, n)
-            known = in_table(self.keys, keys.ravel()).reshape(keys.shape)
-            for k in np.flatnonzero(known.any(axis=1)).tolist():
-                yield int(some[k]), int(some[k]) + window, n, keys[k][known[k]]
+        while at < len(start):
+            # Windows that overlap share the sums of their words.
+            apart = np.flatnonzero(start[at + 1 :] > reach[at:-1])
+            stop = at + 1 + int(apart[0]) if len(apart) else len(start)
+            stop = min(stop, int(np.searchsorted(start, start[at] + TOGETHER)))
+            first = int(start[at])
+            sums = bit_sums(words[first : int((start + length)[at:stop].max())], self.bits)
+            for k in np.unique(which[at:stop]).tolist():
+                _, n, window = parts[k]
+                mine = start[at:stop][which[at:stop] == k]
+                keys = block_keys(fingerprints(sums, mine - first, window + size - 1), size, n)
+                known = in_table(self.keys, keys.ravel()).reshape(keys.shape)
+                for j in np.flatnonzero(known.any(axis=1)).tolist():
+                    yield int(mine[j]), int(mine[j]) + window, n, keys[j][known[j]]
+            at = stop
 
     def _stretches(self, found: list[tuple], shingles: np.ndarray, size: int) -> Iterator[tuple]:
         found.sort(key=lambda f: f[:3])
