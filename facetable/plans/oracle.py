@@ -156,6 +156,43 @@ ORACLE: dict[str, str] = {
         SELECT o_custkey, round(total, 3) AS total FROM totals
         WHERE total > (SELECT avg(total) FROM totals)
     """,
+    "stream_windows": """
+        SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+               event_type, count(*) AS n_rows, round(sum(value), 3) AS total
+        FROM events GROUP BY 1, 2, 3
+        HAVING window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 HOUR FROM events)
+    """,
+    "stream_sliding_windows": """
+        SELECT start AS window_start, start + INTERVAL 6 HOUR AS window_end, count(*) AS n_rows
+        FROM (
+          SELECT unnest([time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01'),
+                         time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 3 HOUR]) AS start
+          FROM events
+        )
+        GROUP BY start
+        HAVING window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 HOUR FROM events)
+    """,
+    "stream_sessions": """
+        WITH steps AS (
+          SELECT user_id, ts, value, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS step
+          FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+        ), numbered AS (
+          SELECT user_id, ts, value, sum(step) OVER (
+                   PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS number
+          FROM steps
+        )
+        SELECT min(ts) AS session_start, max(ts) AS session_end, user_id, count(*) AS n_rows, max(value) AS largest
+        FROM numbered GROUP BY user_id, number
+        HAVING max(ts) + INTERVAL 30 MINUTE
+               <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)
+    """,
+    "stream_first_seen": "SELECT * FROM events",
+    "stream_interval_join": """
+        SELECT p.event_id, p.user_id, p.ts, c.event_id AS click_id, c.ts AS clicked
+        FROM events AS p JOIN events AS c
+          ON p.user_id = c.user_id AND c.ts BETWEEN p.ts - INTERVAL 10 MINUTE AND p.ts
+        WHERE p.event_type = 'purchase' AND c.event_type = 'click'
+    """,
     "asof_purchases": """
         WITH purchases AS (
           SELECT user_id, ts, max(event_id) AS purchase_id, arg_max(value, event_id) AS value

@@ -40,10 +40,14 @@ from facetable.sources import (
     scan_table,
 )
 from facetable.streaming import (
+    first_seen,
     from_events,
+    interval_join,
     read_changes,
     read_file_changes,
+    session_totals,
     to_events,
+    window_totals,
     write_events,
 )
 
@@ -185,15 +189,65 @@ def _send(spark: SparkSession, rows: DataFrame, form: str) -> DataFrame:
     return spark.read.schema(MESSAGE).parquet(sink)
 
 
-def stream_events(spark: SparkSession, folder: str) -> DataFrame:
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     path = table_path(folder, "events")
     # As a pattern, because Spark streams a single file only by one.
     pattern = f"{path[:-1]}[{path[-1]}]"
-    schema = read_parquet(spark, path).schema
-    messages = _send(spark, read_file_changes(spark, pattern, schema, 0), "text")
+    return read_file_changes(spark, pattern, read_parquet(spark, path).schema, 0)
+
+
+def stream_events(spark: SparkSession, folder: str) -> DataFrame:
+    messages = _send(spark, _event_stream(spark, folder), "text")
     return from_events(messages, with_key=True)
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """All rows that a stream sends until its input ends, from the files of its sink."""
+    spark = rows.sparkSession
+    sink = scratch_path(spark, "rows")
+    query = write_events(rows, scratch_path(spark, "checkpoint"), options={"path": sink}, trigger=ALL_AT_ONCE)
+    query.awaitTermination()
+    return spark.read.schema(rows.schema).parquet(sink)
+
+
+def stream_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of each kind and hour that the watermark has passed."""
+    totals = [F.count("*").alias("n_rows"), F.round(F.sum("value"), 3).alias("total")]
+    events = _event_stream(spark, folder)
+    return _sent(window_totals(events, "ts", "1 hour", totals, ["event_type"], "2 hours"))
+
+
+def stream_sliding_windows(spark: SparkSession, folder: str) -> DataFrame:
+    totals = [F.count("*").alias("n_rows")]
+    events = _event_stream(spark, folder)
+    return _sent(window_totals(events, "ts", "6 hours", totals, [], "2 hours", slide="3 hours"))
+
+
+def stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions of each user that the watermark has passed."""
+    totals = [F.count("*").alias("n_rows"), F.max("value").alias("largest")]
+    events = _event_stream(spark, folder)
+    return _sent(session_totals(events, "ts", "30 minutes", totals, ["user_id"], "1 hour"))
+
+
+def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event sent twice passes once."""
+    again = _event_stream(spark, folder).union(_event_stream(spark, folder))
+    return _sent(first_seen(again, ["event_id"], "ts", "1 hour"))
+
+
+def stream_interval_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases with the clicks of their user in the ten minutes before."""
+    purchases = _event_stream(spark, folder).where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    clicks = _event_stream(spark, folder).where("event_type = 'click'").select(
+        F.col("event_id").alias("click_id"), F.col("user_id").alias("clicker"), F.col("ts").alias("clicked")
+    )
+    pairs = interval_join(
+        purchases, clicks, [("user_id", "clicker")], "ts", "clicked", "10 minutes", "0 minutes", "1 hour"
+    )
+    return _sent(pairs.drop("clicker"))
+
+
 def stream_events_parsed(spark: SparkSession, folder: str) -> DataFrame:
     table = _create(spark, folder, "conversations", scratch_database(spark, "stream"))
     schema = scan_table(spark, table).schema
@@ -401,6 +455,11 @@ QUERIES: dict[str, Query] = {
     "event_json_roundtrip": event_json_roundtrip,
     "stream_events": stream_events,
     "stream_events_parsed": stream_events_parsed,
+    "stream_windows": stream_windows,
+    "stream_sliding_windows": stream_sliding_windows,
+    "stream_sessions": stream_sessions,
+    "stream_first_seen": stream_first_seen,
+    "stream_interval_join": stream_interval_join,
     "csv_roundtrip": csv_roundtrip,
     "csv_default_roundtrip": csv_default_roundtrip,
     "csv_microseconds_roundtrip": csv_microseconds_roundtrip,
