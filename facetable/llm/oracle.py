@@ -84,6 +84,39 @@ WITH {MEASURED}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND NOT method_failed AS kept
 FROM judged
+""",
+    "op6_suffix_dedup": """
+WITH docs AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n
+    FROM documents
+),
+windows AS (
+    SELECT doc_id, i, substring(h, 2 * i + 1, 100) AS w
+    FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM docs WHERE n >= 50)
+),
+firsts AS (SELECT w, min(doc_id) AS d FROM windows GROUP BY w),
+hits AS (SELECT doc_id, i FROM windows JOIN firsts USING (w) WHERE doc_id > d),
+steps AS (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS step
+    FROM hits
+),
+runs AS (
+    SELECT doc_id, min(i) AS a, max(i) + 50 AS b
+    FROM (SELECT doc_id, i, sum(step) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM steps)
+    GROUP BY doc_id, run
+),
+pieces AS (
+    SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs
+),
+cut AS (
+    SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+        string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+    FROM pieces JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+    CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+    sha256(unhex(coalesce(head, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)
 """,
     "op12_fill_middle": r"""
 WITH units AS (

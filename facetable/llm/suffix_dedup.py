@@ -14,7 +14,8 @@ lies within one document; the groups that are left at full depth are the repeate
 * The bytes of these runs are gathered by anchor again and their suffixes sorted by
   digits of eight bytes to the full depth.
 
-Copies within one slice of the input are settled there and not sent, so a passage that
+A task works on one bucket after another and holds the runs of one.  Copies within one
+slice of the input are settled there and not sent, so a passage that
 a third of all documents share costs one entry per slice.  An anchor with more than
 ``HOT`` different runs is split further: its suffixes are gathered by all their bytes.
 Rows between the steps are packed: one row per slice and bucket.
@@ -23,7 +24,8 @@ Edge cases: NULL and short texts lose nothing and have an empty or whole rest; a
 neither loses nor takes away; strings do not cross documents; a document's repeats
 of itself stay.  Rows that repeat an id count as one document: what is found in one of
 them is taken from each, at the same places.  Other columns pass through; those named
-like a result are replaced.  Hashes of runs have 94 bits or more.
+like a result are replaced.  Equal runs are told by 88 bits or more between slices (40 of
+the anchor, with its bucket, and 48 of all bytes), and by 64 bits within one.
 """
 
 from __future__ import annotations
@@ -47,6 +49,8 @@ LONGEST_RUN = 64
 HOT = 50_000
 #: Buckets per shuffle partition.
 SPREAD = 8
+#: Spans and runs of several buckets that are answered together.
+HELD = 500_000
 #: Bytes whose suffixes are looked at together; some 150 MB of arrays.
 SLICE = 1 << 21
 
@@ -252,43 +256,93 @@ def send_runs(docs: DataFrame, buckets: int, depth: int = DEPTH) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(over, ROUTED)
 
 
+def bucket_by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch | None, int, list[bytes]]]:
+    """What passes through, and the payloads of one bucket after another.
+
+    Rows come sorted by bucket, so a task holds one at a time, however many it is dealt.
+    """
+    now, held = -1, []
+    for batch in batches:
+        kind = batch.column("kind").to_numpy()
+        if (kind == SPANS).any():
+            yield batch.filter(pa.array(kind == SPANS)), -1, []
+        at = pa.array(np.flatnonzero(kind == RUNS))
+        for route, payload in zip(
+            batch.column("route").take(at).to_pylist(), batch.column("payload").take(at), strict=True
+        ):
+            if route != now:
+                if held:
+                    yield None, now, held
+                now, held = route, []
+            held.append(payload.as_py())
+    if held:
+        yield None, now, held
+
+
+class Pending:
+    """Columns that are gathered over several buckets, so that a document's share of all of
+    them is one row."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        if len(columns[0]):
+            self.parts.append(columns)
+            self.size += len(columns[0])
+
+    def take(self) -> list[np.ndarray]:
+        parts, self.parts, self.size = self.parts, [], 0
+        return [np.concatenate(c) for c in zip(*parts, strict=True)]
+
+
 def compare_runs(sent: DataFrame, buckets: int, depth: int = DEPTH, hot: int = HOT) -> DataFrame:
     """Per bucket: spans that are repeated throughout, and runs whose bytes are wanted."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[list[np.ndarray]] = []
-        for batch in batches:
-            kind = batch.column("kind").to_numpy()
-            yield batch.filter(pa.array(kind == SPANS))
-            for k in np.flatnonzero(kind == RUNS):
-                route = batch.column("route")[int(k)].as_py()
-                found = unpack(batch.column("payload")[int(k)].as_py(), *RUN_COLUMNS)[:-1]
-                # The bucket is part of the anchor.
-                parts.append([widen(found[0]) | (np.uint64(route) << np.uint64(40)), widen(found[1]), *found[2:]])
-        if not parts:
-            return
-        anchor, whole, doc, place, count = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.lexsort((doc, whole, anchor))
-        anchor, whole, doc, place, count = (c[order] for c in (anchor, whole, doc, place, count))
-        new_anchor = np.append(True, anchor[1:] != anchor[:-1])
-        new = new_anchor | np.append(True, whole[1:] != whole[:-1])
-        group, of_anchor = np.cumsum(new) - 1, np.cumsum(new_anchor) - 1
-        later = doc > doc[new][group]
-        rows = Rows()
-        size = count.astype(np.int64) - 1 + depth
-        rows.spans(doc[later], place[later], (place + size)[later], buckets)
-        first = np.flatnonzero(new_anchor)
-        spread = np.maximum.reduceat(doc, first) > np.minimum.reduceat(doc, first)
-        different = np.bincount(of_anchor[new])
-        wanted = np.flatnonzero((spread & (different > 1))[of_anchor] & ~later)
-        wanted = wanted[np.argsort(doc[wanted], kind="stable")]
-        many = (different > hot)[of_anchor]
-        for a, b in _groups(doc[wanted]):
-            w = wanted[a:b]
-            rows.add(None, WANTED, int(doc[w[0]]), pack(anchor[w], place[w], count[w], many[w].astype(np.uint8)))
-        yield rows.batch()
-
-    return sent.repartition("route").mapInArrow(over, ROUTED)
+        spans, asked = Pending(), Pending()
+
+        def answers() -> pa.RecordBatch:
+            rows = Rows()
+            if spans.size:
+                rows.spans(*spans.take(), buckets)
+            if asked.size:
+                doc, *columns = asked.take()
+                order = np.argsort(doc, kind="stable")
+                doc, columns = doc[order], [c[order] for c in columns]
+                for a, b in _groups(doc):
+                    rows.add(None, WANTED, int(doc[a]), pack(*[c[a:b] for c in columns]))
+            return rows.batch()
+
+        for through, route, payloads in bucket_by_bucket(batches):
+            if through is not None:
+                yield through
+                continue
+            parts = [unpack(payload, *RUN_COLUMNS)[:-1] for payload in payloads]
+            anchor, whole, doc, place, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+            anchor, whole = widen(anchor), widen(whole)
+            order = np.lexsort((doc, whole, anchor))
+            anchor, whole, doc, place, count = (c[order] for c in (anchor, whole, doc, place, count))
+            new_anchor = np.append(True, anchor[1:] != anchor[:-1])
+            new = new_anchor | np.append(True, whole[1:] != whole[:-1])
+            group, of_anchor = np.cumsum(new) - 1, np.cumsum(new_anchor) - 1
+            later = doc > doc[new][group]
+            size = count.astype(np.int64) - 1 + depth
+            spans.add(doc[later], place[later], (place + size)[later])
+            first = np.flatnonzero(new_anchor)
+            spread = np.maximum.reduceat(doc, first) > np.minimum.reduceat(doc, first)
+            different = np.bincount(of_anchor[new])
+            wanted = np.flatnonzero((spread & (different > 1))[of_anchor] & ~later)
+            many = (different > hot)[of_anchor].astype(np.uint8)
+            # The bucket is part of the anchor.
+            anchor |= np.uint64(route) << np.uint64(40)
+            asked.add(doc[wanted], anchor[wanted], place[wanted], count[wanted], many[wanted])
+            if spans.size + asked.size >= HELD:
+                yield answers()
+        yield answers()
+
+    return sent.repartition("route").sortWithinPartitions("route").mapInArrow(over, ROUTED)
 
 
 def send_bytes(wanted: DataFrame, buckets: int, depth: int = DEPTH) -> DataFrame:
@@ -384,26 +438,32 @@ def sort_suffixes(sent: DataFrame, buckets: int, depth: int = DEPTH) -> DataFram
     """Per bucket: the spans of suffixes that a smaller document has as well."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[list[np.ndarray]] = []
-        for batch in batches:
-            kind = batch.column("kind").to_numpy()
-            yield batch.filter(pa.array(kind == SPANS))
-            for k in np.flatnonzero(kind == RUNS):
-                parts.append(unpack(batch.column("payload")[int(k)].as_py(), "i8", "i8", "u1"))
-        if not parts:
-            return
-        doc, place, count, data = (np.concatenate(c) for c in zip(*parts, strict=True))
-        count = count.astype(np.int64)
-        size = count - 1 + depth
-        run = np.repeat(np.arange(len(doc)), count)
-        inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        later = equal_suffixes(data, (np.cumsum(size) - size)[run] + inner, doc[run], depth)
-        start = (place[run] + inner)[later]
-        rows = Rows()
-        rows.spans(doc[run][later], start, start + depth, buckets)
-        yield rows.batch()
-
-    return sent.repartition("route").mapInArrow(over, ROUTED)
+        spans = Pending()
+
+        def answers() -> pa.RecordBatch:
+            rows = Rows()
+            if spans.size:
+                rows.spans(*spans.take(), buckets)
+            return rows.batch()
+
+        for through, _, payloads in bucket_by_bucket(batches):
+            if through is not None:
+                yield through
+                continue
+            parts = [unpack(payload, "i8", "i8", "u1") for payload in payloads]
+            doc, place, count, data = (np.concatenate(c) for c in zip(*parts, strict=True))
+            count = count.astype(np.int64)
+            size = count - 1 + depth
+            run = np.repeat(np.arange(len(doc)), count)
+            inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            later = equal_suffixes(data, (np.cumsum(size) - size)[run] + inner, doc[run], depth)
+            start = (place[run] + inner)[later]
+            spans.add(doc[run][later], start, start + depth)
+            if spans.size >= HELD:
+                yield answers()
+        yield answers()
+
+    return sent.repartition("route").sortWithinPartitions("route").mapInArrow(over, ROUTED)
 
 
 def remove_repeats(docs: DataFrame, depth: int = DEPTH, hot: int = HOT) -> DataFrame:
