@@ -12,10 +12,14 @@ No group is ever turned into all its pairs, yet no link is given up:
 1. equal sets are one class, represented by its smallest id (a partial aggregate);
 2. in each band group, members are confirmed against the smallest member, and the
    connected components of these links are found;
-3. what is left are band groups whose members are in several components.  Members
-   outside a group's largest component are compared with all the others, in chunks:
-   a task holds at most ``LEFT`` sets and streams at most about ``RIGHT`` past them, and
-   returns one link per pair of components.  Pairs within a component need no look.
+3. what is left are band groups whose members are in several components.  A member stays
+   only if it could have a partner in another one: of two sets at the threshold, the
+   rarest shingles of one (its prefix) meet those of the other.  Shingles are counted, not
+   paired, so texts that share a frame but are not alike drop out however many they are;
+4. members outside a group's largest component are compared with all the others, in
+   chunks: a task holds about ``LEFT`` sets and ``LEFT_SHINGLES`` shingles at most, or one
+   set, streams about ``RIGHT`` past them, and returns one link per pair of components.
+   Pairs within a component need no look.
 
 Edge cases: a NULL or empty text, or one without words, has an empty set, is linked
 with nothing and is its own component; fewer words than a shingle make one shingle.
@@ -41,6 +45,10 @@ THRESHOLD = 75  # per cent
 PERMUTATIONS = 100
 ROWS = 5
 LEFT, RIGHT = 256, 1024
+#: Shingles of the sets that a task holds; some 50 MB.
+LEFT_SHINGLES = 2_000_000
+#: Counters by which shingles are ordered from rare to frequent.
+COUNTERS = 1 << 20
 
 _rng = np.random.default_rng(20)
 _FACTOR = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -166,9 +174,68 @@ def confirm(tasks: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> Da
     return ready.mapInArrow(over, "a bigint, b bigint")
 
 
-def _chunk(size: F.Column, most: int) -> F.Column:
-    """How many chunks of about ``most`` a group is cut into."""
-    return F.ceil(size / most).cast("int")
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """About how many sets hold a shingle, by ``COUNTERS`` of its hash.
+
+    A table of fixed size: which order shingles have is of no matter for the result, only
+    that all sets see the same.
+    """
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in batches:
+            for packed in batch.column("shingles"):
+                at = np.frombuffer(packed.as_py(), dtype=np.uint64) & np.uint64(COUNTERS - 1)
+                np.add.at(counts, at.astype(np.int64), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "n"])
+
+    found = sets.select("shingles").mapInArrow(over, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(COUNTERS, dtype=np.int64)
+    counts[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def prefixes(shingles: np.ndarray, counts: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, int]:
+    """The rarest shingles of a set, and how many of them also count as the short prefix.
+
+    Of two sets at the threshold, the short prefix of the one that is not larger and the
+    prefix of the other have a shingle in common.
+    """
+    n = len(shingles)
+    long = n - -(-threshold * n // 100) + 1
+    short = n - -(-2 * threshold * n // (100 + threshold)) + 1
+    order = np.lexsort((shingles, counts[(shingles & np.uint64(COUNTERS - 1)).astype(np.int64)]))
+    return shingles[order[:long]], short
+
+
+def possible(members: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id of the members (doc_id, label) that could have a partner of another label."""
+    held = checkpointed(members.join(sets, "doc_id"))
+    counts = held.sparkSession.sparkContext.broadcast(_frequencies(held))
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, sizes, short = [np.zeros(0, np.uint64)], [], [np.zeros(0, bool)]
+            for packed in batch.column("shingles"):
+                found, n = prefixes(np.frombuffer(packed.as_py(), dtype=np.uint64), counts.value, threshold)
+                parts.append(found)
+                sizes.append(len(found))
+                short.append(np.arange(len(found)) < n)
+            at = pa.array(np.repeat(np.arange(batch.num_rows), np.array(sizes, dtype=np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(at), batch.column("label").take(at),
+                    pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.concatenate(short)),
+                ],
+                names=["doc_id", "label", "g", "short"],
+            )
+
+    rows = held.mapInArrow(over, "doc_id bigint, label bigint, g bigint, short boolean")
+    met = rows.groupBy("g").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.bool_or("short").alias("short")
+    )
+    return rows.join(met.where("lo < hi AND short"), "g", "left_semi").select("doc_id").distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -216,19 +283,26 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         .select("band", "doc_id", F.coalesce("label", "doc_id").alias("label"))
         .distinct()
     )
-    shares = placed.groupBy("band", "label").agg(F.count("*").alias("n"))
+    several = placed.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    in_doubt = checkpointed(placed.join(several.select("band"), "band", "left_semi"))
+    able = possible(in_doubt.select("doc_id", "label").distinct(), sets, threshold)
+    sized = classed.where("doc_id = class_id").select("doc_id", "n_shingles").distinct()
+    placed = checkpointed(in_doubt.join(able, "doc_id", "left_semi").join(sized, "doc_id"))
+    shares = placed.groupBy("band", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
     mixed = (
         shares.groupBy("band")
-        .agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"))
+        .agg(F.max(F.struct("n", "label", "size")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"))
         .where("most.n < n")
         .select(
             "band",
             F.col("most.label").alias("major"),
-            _chunks(F.col("n") - F.col("most.n"), LEFT).alias("lefts"),
+            F.greatest(
+                _chunks(F.col("n") - F.col("most.n"), LEFT), _chunks(F.col("size") - F.col("most.size"), LEFT_SHINGLES)
+            ).alias("lefts"),
             _chunks(F.col("n"), RIGHT).alias("rights"),
         )
     )
-    across = placed.join(mixed, "band")
+    across = placed.drop("n_shingles").join(mixed, "band")
     hashed = F.xxhash64("doc_id")
     left = across.where("label <> major").select(
         "band", F.pmod(hashed, "lefts").alias("i"), F.explode(_numbers("rights")).alias("j"),

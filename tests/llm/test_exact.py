@@ -129,6 +129,61 @@ def test_every_pair_across_components_is_looked_at(spark):
     check_near(spark.createDataFrame(docs, "doc_id bigint, text string"), docs)
 
 
+def compared(monkeypatch):
+    """Pairs that the tasks of each comparison hold."""
+    plain, counts = minhash.confirm, []
+
+    def counted(tasks, sets, threshold=minhash.THRESHOLD):
+        sides = tasks.groupBy("task").pivot("side", [0, 1]).count().na.fill(0)
+        counts.append(sides.agg(F.sum(F.col("0") * F.col("1"))).first()[0] or 0)
+        return plain(tasks, sets, threshold)
+
+    monkeypatch.setattr(minhash, "confirm", counted)
+    return counts
+
+
+def test_texts_that_share_a_frame_are_not_compared(spark, monkeypatch):
+    """Texts at 0.6: many share a band, none are alike."""
+    counts = compared(monkeypatch)
+    rng = random.Random(12)
+    frame = [f"frame{k}" for k in range(80)]
+    docs = [(k, " ".join([*frame, *(f"own{k}x{j}" for j in range(26))])) for k in range(2000)]
+    docs += [(5000 + k, docs[k][1] + " more") for k in range(0, 40)]
+    rng.shuffle(docs)
+    rows = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {d: d - 5000 if d >= 5000 else d for d, _ in docs}
+    assert counts[-1] < 2000  # of two million pairs
+
+
+def test_prefixes_of_sets_at_the_threshold_meet():
+    rng = np.random.default_rng(5)
+    counts = rng.integers(0, 50, minhash.COUNTERS)
+    for _ in range(400):
+        n = int(rng.integers(1, 60))
+        a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        kept = a[rng.random(len(a)) < rng.choice([0.8, 0.9, 1.0])]
+        b = np.union1d(kept, rng.integers(0, 1 << 62, int(rng.integers(0, 9))).astype(np.uint64))
+        both = len(np.intersect1d(a, b))
+        if not both or 100 * both < 75 * len(np.union1d(a, b)):
+            continue
+        (large, _), (small, short) = (
+            minhash.prefixes(s, counts) for s in sorted((a, b), key=len, reverse=True)
+        )
+        assert np.isin(small[:short], large).any()
+
+
+def test_long_sets_are_dealt_to_more_tasks(spark, monkeypatch):
+    """What a task holds is bounded by shingles, not by sets."""
+    monkeypatch.setattr(minhash, "LEFT_SHINGLES", 400)
+    rng, docs = random.Random(9), []
+    base = [f"w{rng.random()}" for _ in range(100)]
+    for k in range(60):
+        base = list(base)
+        base[(k * 17) % 100] = f"n{k}"
+        docs.append((rng.randint(0, 10**9), " ".join(base)))
+    check_near(spark.createDataFrame(docs, "doc_id bigint, text string"), docs)
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(200, 260)]
