@@ -10,25 +10,35 @@ Shuffling rows uniformly over bins of fixed size is the same as three steps:
 
 Each shard is cut into bins of consecutive slots, so no task ever holds a shard.
 A block is a hash of a row's whole content, not a physical partition: a lost and
-recomputed task finds the same rows in the same block.  Only the counts per block
-reach the driver, and the matrix has ``blocks * shards * bins`` entries whatever
-the data.  The draws have the same law at any number of rows.  A hot source or a group of equal texts spreads over all blocks, because
-the ids differ; rows equal in every column share a block and are exchangeable, so
-their order among themselves changes no result.
-
-Edge cases: NULL in any column is a value like any other; an empty table gives no
-row; shards may be empty when there are fewer rows than shards.  Other columns
-pass through; columns named ``shard`` or ``slot`` are replaced.
+recomputed task finds the same rows in the same block.  There is a block, and a bin, for
+about ``ROWS_EACH`` rows, ``MOST`` at most; only the counts per block reach the driver, and
+the matrix has ``MOST ** 2`` entries at most (32 MB), whatever the data.  The draws have the
+same law at any number of rows.
+
+A hot source or a group of equal texts spreads over all blocks, because the ids differ.
+Rows equal in every column are exchangeable.  Where so many are equal that they would fill
+a tenth of a block, they are written to the shared folder with a number and a block each,
+dealt in turn, so that the counts and the deal see the same.  Fewer equal rows share a
+block and lie side by side there before the deal, so they tend to the same shards.
+
+Edge cases: NULL in any column is a value like any other; MAP columns count as their
+JSON; an empty table gives no row; shards may be empty when there are fewer rows than
+shards.  Other columns pass through; columns named ``shard`` or ``slot`` are replaced.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BLOCKS = 256
-BINS = 32
+from facetable.llm.tables import settled
+
+#: Rows of a block or bin; and how many there are at least and at most.
+ROWS_EACH = 1_000_000
+LEAST, MOST = 64, 2048
 
 
 def bin_sizes(n: int, shards: int, bins: int) -> np.ndarray:
@@ -93,20 +103,63 @@ def _inverted(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
     return min(first + int(np.searchsorted(summed, rng.random() * summed[-1], "right")), last)
 
 
+def parts_for(n: int) -> int:
+    """How many blocks, or bins, so many rows are cut into."""
+    return min(max(-(-n // ROWS_EACH), LEAST), MOST)
+
+
+def has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and has_map(kind.elementType))
+
+
+def dealt_repeats(keyed: DataFrame, n: int, blocks: int) -> DataFrame:
+    """``keyed`` with ``block``: by the key, but in turn for rows that are repeated often."""
+    many = max(n // (10 * blocks), 1)
+    repeated = keyed.groupBy("key", "check").count().where(F.col("count") > many).select("key", "check")
+    by_key = keyed.withColumn("block", F.pmod("key", F.lit(blocks)).cast("int"))
+    if repeated.isEmpty():
+        return by_key
+    repeated = settled(repeated)  # fewer than 10 * blocks keys
+    in_turn = keyed.join(F.broadcast(repeated), ["key", "check"], "left_semi")
+    # Every task begins at a block of its own; the number tells equal rows apart.
+    numbered = in_turn.withColumn("number", F.monotonically_increasing_id() + F.spark_partition_id() * 7)
+    in_turn = settled(
+        numbered.select(
+            "row", F.xxhash64("key", "number").alias("key"), "check",
+            F.pmod("number", F.lit(blocks)).cast("int").alias("block"),
+        )
+    )
+    others = by_key.join(F.broadcast(repeated), ["key", "check"], "left_anti")
+    return others.unionByName(in_turn)
+
+
 def shuffle_into_shards(
     rows: DataFrame,
     shards: int = 8,
     seed: int = 0,
-    blocks: int = BLOCKS,
-    bins: int = BINS,
+    blocks: int | None = None,
+    bins: int | None = None,
 ) -> DataFrame:
-    """``rows`` with ``shard`` (from 0) and ``slot`` (gapless from 0 in each shard)."""
+    """``rows`` with ``shard`` (from 0) and ``slot`` (gapless from 0 in each shard).
+
+    Without ``blocks`` and ``bins`` (per shard) there are as many as the rows need.
+    """
     rows = rows.select(*[c for c in rows.columns if c not in ("shard", "slot")])
     columns = [F.col(f"`{c}`") for c in rows.columns]
+    hashed = [
+        F.to_json(F.struct(c)) if has_map(f.dataType) else c for c, f in zip(columns, rows.schema, strict=True)
+    ]
     keyed = rows.select(
         F.struct(*columns).alias("row"),  # so that no name of theirs meets one used here
-        F.xxhash64(F.lit(seed), *columns).alias("key"),
-    ).withColumn("block", F.pmod("key", F.lit(blocks)).cast("int"))
+        F.xxhash64(F.lit(seed), *hashed).alias("key"),
+        F.xxhash64(F.lit(seed), F.lit("check"), *hashed).alias("check"),
+    )
+    n = rows.count()
+    blocks = blocks or parts_for(n)
+    bins = bins or -(-parts_for(n) // shards)
+    keyed = dealt_repeats(keyed, n, blocks)
 
     spark = rows.sparkSession
     counts = dict(keyed.groupBy("block").count().collect())
@@ -114,18 +167,17 @@ def shuffle_into_shards(
     matrix = draw_matrix(np.array([counts.get(b, 0) for b in range(blocks)]), sizes, seed)
     starts = (np.cumsum(sizes.reshape(shards, bins), axis=1) - sizes.reshape(shards, bins)).ravel()
     # One row per block: at most blocks * shards * bins numbers, whatever the data.
-    dealt = spark.createDataFrame(
-        [(b, np.cumsum(matrix[b]).tolist()) for b in range(blocks)],
-        "block int, ends array<bigint>",
-    )
-    first = Window.partitionBy("block").orderBy(F.xxhash64("key", F.lit(1)), "key")
+    ends = np.cumsum(matrix, axis=1)
+    lists = pa.ListArray.from_arrays(np.arange(blocks + 1, dtype=np.int32) * (shards * bins), ends.ravel())
+    dealt = spark.createDataFrame(pa.table({"block": pa.array(np.arange(blocks, dtype=np.int32)), "ends": lists}))
+    first = Window.partitionBy("block").orderBy(F.xxhash64("key", F.lit(1)), "key", "check")
     placed = (
         keyed.withColumn("at", F.row_number().over(first) - 1)
         .join(F.broadcast(dealt), "block")
         .withColumn("bin", F.size(F.filter("ends", lambda end: end <= F.col("at"))))
         .drop("ends", "at", "block")
     )
-    second = Window.partitionBy("bin").orderBy(F.xxhash64("key", F.lit(2)), "key")
+    second = Window.partitionBy("bin").orderBy(F.xxhash64("key", F.lit(2)), "key", "check")
     start = F.get(F.lit(starts.tolist()).cast("array<bigint>"), F.col("bin"))
     return placed.select(
         "row.*",

@@ -453,6 +453,36 @@ def test_sharding_query(spark, data):
         d: (len(t.encode()) + 1, zlib.crc32(t.encode())) for d, t in docs.items()
     }
     assert first == sorted(QUERIES["op7_sharding"](spark, data).collect())
+    # The law of the query: shards differ by one row at most, slots have no gaps.
+    assert {(r.law, r.grown_shard) for r in first} == {("rows", None)}
+    slots = {k: sorted(r.slot for r in first if r.shard == k) for k in range(8)}
+    assert sum(map(len, slots.values())) == len(docs)
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert all(s == list(range(len(s))) for s in slots.values())
+
+
+def test_equal_rows_are_dealt_to_all_blocks(spark):
+    """A third of the rows are one row; it fills no block and every shard."""
+    rows = spark.range(6000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id")).repartition(5)
+    keyed = rows.select(F.struct("id").alias("row"), F.xxhash64("id").alias("key"), F.xxhash64(F.lit(1), "id").alias("check"))
+    per_block = [r["count"] for r in sharding.dealt_repeats(keyed, 6000, 64).groupBy("block").count().collect()]
+    assert sum(per_block) == 6000 and len(per_block) == 64 and max(per_block) < 3 * 6000 / 64
+    got = sharding.shuffle_into_shards(rows, 4).collect()
+    assert sorted(r.id for r in got) == sorted(r.id for r in rows.collect())
+    for k in range(4):
+        mine = [r for r in got if r.shard == k]
+        assert sorted(r.slot for r in mine) == list(range(1500))
+        assert 400 < sum(r.id == -1 for r in mine) < 600
+
+
+def test_columns_of_maps_pass_through(spark):
+    rows = spark.range(50).select("id", F.create_map(F.lit("a"), "id").alias("m"), F.array(F.create_map("id", F.lit(1))).alias("n"))
+    got = sharding.shuffle_into_shards(rows, 3).collect()
+    assert sorted(r.id for r in got) == list(range(50)) and all(r.m == {"a": r.id} and r.n == [{r.id: 1}] for r in got)
+
+
+def test_blocks_follow_the_rows():
+    assert [sharding.parts_for(n) for n in (0, 10**6, 10**8, 10**9, 10**12)] == [64, 64, 100, 1000, 2048]
 
 
 def test_the_shuffle_is_uniform(spark):
