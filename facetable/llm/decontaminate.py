@@ -72,7 +72,7 @@ def normal_words(text: str | None) -> np.ndarray:
 def bit_sums(words: np.ndarray, bits: int = BITS) -> np.ndarray:
     """For each prefix of a list of words, the sums of their bits as +1 and -1."""
     values, back = np.unique(words, return_inverse=True)
-    parts = [mix(values + np.uint64(k + 1) * _STEP) for k in range(bits // 64)]
+    parts = [mix(values + np.array([k + 1], dtype=np.uint64) * _STEP) for k in range(bits // 64)]
     signs = np.unpackbits(np.stack(parts, axis=1).view(np.uint8), axis=1).astype(np.int32) * 2 - 1
     sums = np.zeros((len(words) + 1, bits), dtype=np.int32)
     np.cumsum(signs[back], axis=0, out=sums[1:])

@@ -7,8 +7,8 @@ weighted by their bytes.  Embedding and filters together are one table per byte
 applying a filter is looking up rows and adding them, shifted.
 
 The network is trained in numpy on a bounded sample: ``PER_LANG`` documents of each
-language, chosen by a hash of their ids, and ``WINDOWS`` windows of each, spread over the
-text.  Its few thousand weights travel with the function that reads Arrow batches; scoring
+language, chosen by a hash of their ids (rows that repeat an id count once), and
+``WINDOWS`` windows of each, spread over the text.  Its few thousand weights travel with the function that reads Arrow batches; scoring
 shuffles nothing and looks at whole texts.
 
 Edge cases: ``und`` with score 0 if a text is NULL or has no letter, and if nothing
@@ -164,7 +164,10 @@ def fit(docs: DataFrame, learn: Column, per_lang: int = PER_LANG) -> Network | N
                 found += [(lang, rows[i].tobytes()) for i in at]
             yield pd.DataFrame(found, columns=["lang", "bytes"])
 
-    texts = usable.join(F.broadcast(chosen), "doc_id").select("lang", "text")
+    texts = usable.select(F.col("doc_id").cast("long"), "lang", "text").join(F.broadcast(chosen), "doc_id")
+    # Rows that repeat an id are one document: its first text, by a hash.
+    first = F.min_by(F.struct("lang", "text"), F.struct(F.xxhash64("text"), "text", "lang"))
+    texts = texts.groupBy("doc_id").agg(first.alias("row")).select("row.*")
     found = texts.mapInPandas(cut, "lang string, bytes binary").toPandas()
     if found.empty:
         return None

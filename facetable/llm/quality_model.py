@@ -91,17 +91,25 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, sampl
     # Bounded by ``sample``; the plan sees it as a list of ids and labels.
     chosen = spark.createDataFrame(agreed.collect(), "doc_id bigint, label int")
     schema = T.StructType(
-        [T.StructField("label", T.IntegerType()), *[T.StructField(f, T.DoubleType()) for f in FEATURES]]
+        [
+            T.StructField("doc_id", T.LongType()),
+            T.StructField("label", T.IntegerType()),
+            *[T.StructField(f, T.DoubleType()) for f in FEATURES],
+        ]
     )
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = pd.DataFrame([statistics(t) for t in batch["text"]], columns=list(FEATURES))
             rows.insert(0, "label", batch["label"].to_numpy())
+            rows.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield rows
 
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("label", "text").mapInPandas(measure, schema).toPandas().to_numpy()
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")
+    # Rows that repeat an id are one document, so ``sample`` bounds what reaches the driver.
+    measured = texts.select("doc_id", "label", "text").mapInPandas(measure, schema)
+    one = measured.groupBy("doc_id").agg(F.min(F.struct("label", *FEATURES)).alias("row"))
+    rows = one.select("row.*").toPandas().to_numpy()
     rows = rows[np.lexsort(rows.T)]  # the order of rows must not change sums
     return boosting.train(rows[:, 1:], rows[:, 0])
 

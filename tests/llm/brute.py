@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import unicodedata
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -125,3 +127,67 @@ def leaks(text, items, least=0.75):
                 found.add(item)
                 break
     return found
+
+
+def statistics(text):
+    """The features of the quality classifier, one by one."""
+    text = text or ""
+    data = text.encode()
+    kinds = [0] * 9
+    for b in data:
+        c = chr(b)
+        if b >= 128:
+            kinds[7] += 1
+        elif c.islower():
+            kinds[0] += 1
+        elif c.isupper():
+            kinds[1] += 1
+        elif c.isdigit():
+            kinds[2] += 1
+        elif c in "#*$%&|<>=@^~_\\{}[]":
+            kinds[4] += 1
+        elif c in ".,;:":
+            kinds[5] += 1
+        elif c in "!?":
+            kinds[6] += 1
+        elif c in " \t\n\x0b\x0c\r":
+            kinds[8] += 1
+        else:
+            kinds[3] += 1
+    w = text.split()
+    lines = [x for x in text.split("\n") if x.strip()]
+    different = set(w)
+    pairs = {(a, b) for a, b in zip(w, w[1:], strict=False)}
+    n, n_lines, n_different = len(w) or 1, len(lines) or 1, len(different) or 1
+    return [
+        math.log(1 + len(data)), math.log(1 + len(w)), math.log(1 + len(lines)), len(data) / n, len(w) / n_lines,
+        *[k / (len(data) or 1) for k in kinds[1:]],
+        len(different) / n, max([w.count(x) for x in different], default=0) / n, len(set(lines)) / n_lines,
+        len(pairs) / n, sum(x.isupper() for x in different) / n_different,
+        sum(not x[-1].isalnum() for x in different) / n_different,
+    ]
+
+
+def language(text, network, window):
+    """Language and score of one text, filter by filter and place by place."""
+    if not text or not any(unicodedata.category(c)[0] == "L" for c in text):
+        return "und", 0.0
+    data, total, mean = text.encode(), 0, [0.0] * len(network.langs)
+    for at in range(0, len(data), window):
+        part = list(data[at : at + window])
+        padded = part + [0] * (window - len(part))
+        hidden = []
+        for filters, biases in zip(network.filters, network.biases, strict=True):
+            for f in range(filters.shape[2]):
+                best = max(
+                    sum(float(network.embedding[padded[i + j]] @ filters[j, :, f]) for j in range(len(filters)))
+                    for i in range(window - len(filters) + 1)
+                )
+                hidden.append(max(best + float(biases[f]), 0.0))
+        logits = [sum(h * float(o) for h, o in zip(hidden, network.out[:, k], strict=True)) + float(network.out_bias[k]) for k in range(len(mean))]
+        e = [math.exp(x - max(logits)) for x in logits]
+        for k, x in enumerate(e):
+            mean[k] += len(part) * x / sum(e)
+        total += len(part)
+    best = max(range(len(mean)), key=lambda k: mean[k])
+    return network.langs[best], mean[best] / total

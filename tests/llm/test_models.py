@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from facetable.llm import boosting, html_text, langid, quality_model
 from facetable.llm.queries import QUERIES
+from tests.llm import brute
 
 SF = "/root/testdata/sf0.01"
 
@@ -37,6 +38,51 @@ def test_boosting_without_two_labels(labels):
     assert 0 < forest.score(np.zeros((2, 3)))[0] < 1
 
 
+def test_statistics_equal_those_by_hand(spark):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    texts += [None, "", " \n ", "A", "a b\na b\n\nC! é🙂 1,2 {x} \u2028 y\x1cz", "x" * 5000, "\t\x0b", "WORD WORD word."]
+    for text in texts:
+        assert quality_model.statistics(text) == pytest.approx(brute.statistics(text), rel=1e-12)
+
+
+def test_quality_scores_equal_a_walk_by_hand(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
+    forest = quality_model.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    for r in quality_model.score(docs, forest).limit(80).collect():
+        row, total = brute.statistics(r.text), forest.start
+        for f, t, leaf in zip(forest.feature, forest.threshold, forest.leaf, strict=True):
+            k = 0
+            while k < len(f):
+                k = 2 * k + 1 + (row[f[k]] > t[k])
+            total += leaf[k - len(f)]
+        assert r.score == pytest.approx(1 / (1 + np.exp(-total))) and r.predicted == (r.score >= 0.3)
+
+
+def test_languages_equal_those_by_hand(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    network = langid.fit(docs, F.col("doc_id") % 5 == 0, per_lang=20)
+    texts = [r.text for r in docs.where("length(text) < 900").limit(12).collect()]
+    texts += [None, "", "123 4!", "é", "x" * langid.WINDOW, "ab " * 100]
+    langs, scores = langid.identify_batch(texts, network)
+    for text, lang, score in zip(texts, langs, scores, strict=True):
+        expected = brute.language(text, network, langid.WINDOW)
+        assert lang == expected[0] and score == pytest.approx(expected[1], rel=1e-3)
+
+
+def test_repeated_ids_do_not_enlarge_the_samples(spark, monkeypatch):
+    """A thousand rows of one id reach the driver as one."""
+    docs = [(1, f"one id and text {k} of it", "en") for k in range(1000)]
+    docs += [(k, f"other words {k} here", "en" if k % 2 else "de") for k in range(2, 40)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 40)], "doc_id bigint, quality int")
+    sizes = []
+    monkeypatch.setattr(boosting, "train", lambda x, y, **k: sizes.append(len(x)))
+    monkeypatch.setattr(langid, "train", lambda windows, *a, **k: sizes.append(len(windows)))
+    quality_model.fit(frame, labels)
+    langid.fit(frame, F.lit(True))
+    assert sizes[0] <= 39 and sizes[1] <= 39 * langid.WINDOWS
+
+
 def test_quality_on_held_out_documents(spark):
     rows = QUERIES["op2_quality_classifier"](spark, SF)
     labels = spark.read.parquet(f"{SF}/labels.parquet")
