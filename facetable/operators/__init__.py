@@ -3,6 +3,7 @@
 from facetable.operators.asof import asof_join
 from facetable.operators.document import document_query
 from facetable.operators.export import LOSSLESS_CSV, export_csv, export_table, read_staged
+from facetable.operators.nested import Children, nested_query
 from facetable.operators.ranges import slice_by_range
 from facetable.operators.select import (
     describe,
@@ -16,6 +17,7 @@ from facetable.operators.sessions import sessions
 from facetable.operators.sql import run_sql
 
 __all__ = [
+    "Children",
     "LOSSLESS_CSV",
     "asof_join",
     "describe",
@@ -23,6 +25,7 @@ __all__ = [
     "document_query",
     "export_csv",
     "export_table",
+    "nested_query",
     "preview",
     "preview_text",
     "project_filter",

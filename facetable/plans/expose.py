@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from facetable.operators.document import document_query
 from facetable.operators.export import export_csv, export_table, read_staged
+from facetable.operators.nested import Children, nested_query
 from facetable.operators.select import describe, query_table
 from facetable.operators.sql import run_sql
 from facetable.sources.catalog import find_table, scan_table
@@ -93,9 +94,15 @@ class TableHandle:
         limit: int | None = None,
         order_by: Mapping[str, str] | None = None,
         offset: int | None = None,
+        children: Mapping[str, Children] | None = None,
     ) -> DataFrame:
-        """A document query on the copy staged when the mode was exposed."""
+        """A document query on the copy staged when the mode was exposed.
+
+        ``children`` adds arrays of rows of other tables.
+        """
         self._need(GQL)
+        if children:
+            return nested_query(self._documents, select, children, where, limit, order_by, offset)
         return document_query(self._documents, select, where, limit, order_by, offset)
 
     def _need(self, mode: str) -> None:

@@ -193,6 +193,17 @@ ORACLE: dict[str, str] = {
           ON p.user_id = c.user_id AND c.ts BETWEEN p.ts - INTERVAL 10 MINUTE AND p.ts
         WHERE p.event_type = 'purchase' AND c.event_type = 'click'
     """,
+    "document_query_nested": """
+        WITH placed AS (
+          SELECT o_custkey, o_orderkey, o_totalprice,
+                 row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) - 1 AS place
+          FROM orders WHERE o_orderstatus <> 'F'
+        )
+        SELECT c_custkey, c_name, n_name AS nation, place, o_orderkey, o_totalprice
+        FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
+        LEFT JOIN (SELECT * FROM placed WHERE place < 3) AS top ON o_custkey = c_custkey
+        WHERE c_acctbal > 5000
+    """,
     "asof_purchases": """
         WITH purchases AS (
           SELECT user_id, ts, max(event_id) AS purchase_id, arg_max(value, event_id) AS value

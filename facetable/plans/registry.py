@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from facetable.functions.envelope import parse_json
 from facetable.operators import (
     LOSSLESS_CSV,
+    Children,
     asof_join,
     describe,
     document_query,
     export_csv,
     export_table,
+    nested_query,
     preview,
     project_filter,
     read_staged,
@@ -149,6 +151,24 @@ def document_query_offset(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def document_query_nested(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with their three dearest orders and their nation, a row per order."""
+    orders = Children(
+        _input(spark, folder, "orders"), [("c_custkey", "o_custkey")], ["o_orderkey", "o_totalprice"],
+        limit=3, order_by={"o_totalprice": "desc", "o_orderkey": "asc"}, where={"o_orderstatus": {"_neq": "F"}},
+    )
+    nation = Children(
+        _input(spark, folder, "nation"), [("c_nationkey", "n_nationkey")], ["n_name"],
+        limit=1, order_by={"n_nationkey": "asc"},
+    )
+    documents = nested_query(
+        _input(spark, folder, "customer"), ["c_custkey", "c_name"], {"orders": orders, "nation": nation},
+        where={"c_acctbal": {"_gt": 5000}},
+    )
+    rows = documents.select("c_custkey", "c_name", F.col("nation.n_name")[0].alias("nation"), F.posexplode_outer("orders"))
+    return rows.select("c_custkey", "c_name", "nation", F.col("pos").cast("long").alias("place"), "col.*")
+
+
 # Messages
 
 
@@ -449,6 +469,7 @@ QUERIES: dict[str, Query] = {
     "document_query": document_query_page,
     "document_query_filter": document_query_filter,
     "document_query_offset": document_query_offset,
+    "document_query_nested": document_query_nested,
     "event_envelope": event_envelope,
     "event_envelope_keyed": event_envelope_keyed,
     "event_roundtrip": event_roundtrip,

@@ -1,0 +1,85 @@
+"""Documents with the rows of other tables that belong to them."""
+
+import pytest
+
+from facetable.operators import Children, nested_query
+
+PARENTS = [(1, "a", 10), (2, "b", 20), (2, "b", 20), (3, "c", 30), (None, "none", 40)]
+CHILDREN = [(k, 1, "x", k % 7) for k in range(50)] + [(100, 2, "y", 1), (101, 2, "x", None), (102, None, "x", 3)]
+
+
+@pytest.fixture(scope="module")
+def frames(spark):
+    return (
+        spark.createDataFrame(PARENTS, "id int, name string, size int"),
+        spark.createDataFrame(CHILDREN, "n int, owner int, kind string, weight int"),
+    )
+
+
+def orders(child, **changes):
+    given = {"on": [("id", "owner")], "select": ["n", "kind"], "limit": 3, "order_by": {"weight": "desc_nulls_last", "n": "asc"}}
+    return Children(child, **{**given, **changes})
+
+
+def rows(frame, name="kids"):
+    return sorted(((*r[:-1], [tuple(c) for c in r[name]]) for r in frame.collect()), key=str)
+
+
+def test_first_children_of_each_parent(frames):
+    parent, child = frames
+    got = nested_query(parent, ["id", "name"], {"kids": orders(child)})
+    assert got.columns == ["id", "name", "kids"]
+    assert rows(got) == sorted(
+        [
+            (1, "a", [(6, "x"), (13, "x"), (20, "x")]),
+            (2, "b", [(100, "y"), (101, "x")]),
+            (2, "b", [(100, "y"), (101, "x")]),
+            (3, "c", []),
+            (None, "none", []),
+        ],
+        key=str,
+    )
+
+
+def test_conditions_and_pages(frames):
+    parent, child = frames
+    kids = orders(child, where={"kind": {"_eq": "x"}}, limit=1, select=["n"])
+    page = nested_query(parent, ["name"], {"kids": kids}, {"size": {"_lt": 40}}, 2, {"size": "desc", "id": "asc"}, 1)
+    assert rows(page) == [("b", [(101,)]), ("b", [(101,)])]
+
+
+def test_two_kinds_of_children_and_any_names(spark, frames):
+    parent, child = frames
+    odd = parent.toDF("row", "k0", "rows0")
+    kinds = {
+        "a b": Children(child, [("row", "owner")], ["weight"], 1, {"n": "desc"}),
+        "kids": Children(child.toDF("place", "row", "o0", "rows"), [("row", "row")], ["place"], 2, {"place": "asc"}),
+    }
+    got = nested_query(odd, ["row", "rows0"], kinds, {"row": {"_eq": 1}})
+    assert got.columns == ["row", "rows0", "a b", "kids"]
+    assert [(r[0], r[1], [tuple(c) for c in r[2]], [tuple(c) for c in r[3]]) for r in got.collect()] == [
+        (1, 10, [(0,)], [(0,), (1,)])
+    ]
+
+
+def test_empty_tables(frames):
+    parent, child = frames
+    assert rows(nested_query(parent.where("id = 1"), ["id"], {"kids": orders(child.where("FALSE"))})) == [(1, [])]
+    assert nested_query(parent.where("FALSE"), ["id"], {"kids": orders(child)}).count() == 0
+
+
+def test_a_hot_parent_is_cut_before_the_shuffle(frames):
+    parent, child = frames
+    plan = nested_query(parent, ["id"], {"kids": orders(child)})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
+
+@pytest.mark.parametrize("changes", [{"limit": 0}, {"limit": None}, {"order_by": {}}])
+def test_limits_and_orders_are_needed(frames, changes):
+    parent, child = frames
+    with pytest.raises(ValueError):
+        nested_query(parent, ["id"], {"kids": orders(child, **changes)})
+    with pytest.raises(ValueError):
+        nested_query(parent, ["id"], {"id": orders(child)})
+    with pytest.raises(ValueError):
+        nested_query(parent, ["id"], {"kids": orders(child)}, offset=3)
