@@ -4,6 +4,7 @@ from facetable.operators.asof import asof_join
 from facetable.operators.document import document_query
 from facetable.operators.export import LOSSLESS_CSV, export_csv, export_table, read_staged
 from facetable.operators.nested import Children, nested_query
+from facetable.operators.overlap import overlap_join
 from facetable.operators.ranges import slice_by_range
 from facetable.operators.select import (
     describe,
@@ -26,6 +27,7 @@ __all__ = [
     "export_csv",
     "export_table",
     "nested_query",
+    "overlap_join",
     "preview",
     "preview_text",
     "project_filter",

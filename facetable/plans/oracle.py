@@ -204,6 +204,23 @@ ORACLE: dict[str, str] = {
         LEFT JOIN (SELECT * FROM placed WHERE place < 3) AS top ON o_custkey = c_custkey
         WHERE c_acctbal > 5000
     """,
+    "overlap_sessions": """
+        WITH steps AS (
+          SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS step
+          FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+        ), numbered AS (
+          SELECT user_id, ts, sum(step) OVER (
+                   PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS number
+          FROM steps
+        ), sessions AS (
+          SELECT user_id, min(ts) AS session_start, max(ts) AS session_end
+          FROM numbered WHERE ts IS NOT NULL GROUP BY user_id, number
+        )
+        SELECT a.user_id, a.session_start, a.session_end, count(*) AS n_others
+        FROM sessions AS a JOIN sessions AS b
+          ON a.session_start <= b.session_end AND b.session_start <= a.session_end AND a.user_id <> b.user_id
+        GROUP BY ALL
+    """,
     "asof_purchases": """
         WITH purchases AS (
           SELECT user_id, ts, max(event_id) AS purchase_id, arg_max(value, event_id) AS value

@@ -22,6 +22,7 @@ from facetable.operators import (
     export_csv,
     export_table,
     nested_query,
+    overlap_join,
     preview,
     project_filter,
     read_staged,
@@ -461,6 +462,15 @@ def session_events(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("total", F.round("total", 3))
 
 
+def overlap_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """For each session of a user, how many sessions of others lie in the same time."""
+    mine = sessions(_input(spark, folder, "events"), ["user_id"], "ts", 1800).drop("n_rows")
+    others = mine.toDF("other_id", "other_start", "other_end")
+    spans = ("session_start", "session_end"), ("other_start", "other_end")
+    pairs = overlap_join(mine, others, *spans, smallest_seconds=300).where("user_id <> other_id")
+    return pairs.groupBy("user_id", "session_start", "session_end").agg(F.count("*").alias("n_others"))
+
+
 QUERIES: dict[str, Query] = {
     "project_filter": project_filter_query,
     "project_filter_multi": project_filter_multi,
@@ -497,5 +507,6 @@ QUERIES: dict[str, Query] = {
     "sql_ddl_dml": sql_ddl_dml,
     "asof_purchases": asof_purchases,
     "session_events": session_events,
+    "overlap_sessions": overlap_sessions,
     **{name: partial(_acceptance, name=name) for name in ACCEPTANCE},
 }

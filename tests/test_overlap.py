@@ -1,0 +1,80 @@
+"""Interval-overlap joins against all pairs by hand."""
+
+import datetime
+import random
+from collections import Counter
+
+import pytest
+
+from facetable.operators import overlap_join
+
+START = datetime.datetime(2024, 1, 1)
+
+
+def at(seconds):
+    return None if seconds is None else START + datetime.timedelta(seconds=seconds)
+
+
+def pairs(left, right, keyed):
+    return Counter(
+        (a[0], b[0])
+        for a in left
+        for b in right
+        if None not in (*a[2:], *b[2:]) and a[2] <= a[3] and b[2] <= b[3] and a[2] <= b[3] and b[2] <= a[3]
+        and (not keyed or (a[1] is not None and a[1] == b[1]))
+    )
+
+
+def stretches(rng, n):
+    out = []
+    for k in range(n):
+        start = rng.choice([rng.randrange(-50_000, 90_000), rng.randrange(300), 640, None if k % 19 == 0 else 7])
+        length = rng.choice([0, 1, 9, 79, 80, 81, 640, 5000, 70_000, -3])
+        end = None if start is None or k % 23 == 0 else start + length
+        out.append((k, rng.choice([1, 1, 2, None]), start, end))
+    return out + out[:5]
+
+
+def frame(spark, rows, side):
+    return spark.createDataFrame(
+        [(k, key, at(s), at(e)) for k, key, s, e in rows],
+        f"{side}id int, {side}key int, {side}from timestamp_ntz, {side}to timestamp_ntz",
+    )
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+@pytest.mark.parametrize("smallest", [1, 10, 3600])
+def test_every_pair_once(spark, keyed, smallest):
+    rng = random.Random(smallest)
+    left, right = stretches(rng, 160), stretches(rng, 120)
+    on = [("lkey", "rkey")] if keyed else []
+    got = overlap_join(frame(spark, left, "l"), frame(spark, right, "r"), ("lfrom", "lto"), ("rfrom", "rto"), smallest, on)
+    assert got.columns == ["lid", "lkey", "lfrom", "lto", "rid", "rkey", "rfrom", "rto"]
+    assert Counter((r.lid, r.rid) for r in got.select("lid", "rid").collect()) == pairs(left, right, keyed)
+
+
+def test_microseconds_and_moments(spark):
+    edge = START + datetime.timedelta(microseconds=1)
+    left = spark.createDataFrame([(1, START, START), (2, edge, edge)], "a int, s timestamp_ntz, e timestamp_ntz")
+    right = spark.createDataFrame([(9, START, edge), (8, edge, edge)], "b int, s2 timestamp_ntz, e2 timestamp_ntz")
+    got = overlap_join(left, right, ("s", "e"), ("s2", "e2"), 60).select("a", "b").collect()
+    assert sorted(map(tuple, got)) == [(1, 9), (2, 8), (2, 9)]
+
+
+def test_names_and_empty_tables(spark):
+    left, right = frame(spark, [(1, 1, 0, 5)], "l"), frame(spark, [(1, 1, 0, 5)], "r")
+    spans = ("lfrom", "lto"), ("rfrom", "rto")
+    assert overlap_join(left, right.where("FALSE"), *spans, 10).count() == 0
+    assert overlap_join(left.where("FALSE"), right, *spans, 10).count() == 0
+    with pytest.raises(ValueError):
+        overlap_join(left, left, spans[0], spans[0], 10)
+
+
+def test_the_join_has_equal_keys(spark):
+    """No nested loop: stretches meet in buckets, and a long one is a bounded number of rows."""
+    rows = [(k, 1, 0, 10**k) for k in range(9)]
+    got = overlap_join(frame(spark, rows, "l"), frame(spark, rows, "r"), ("lfrom", "lto"), ("rfrom", "rto"), 1)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 1 and "bucket" in joins[0] and "size" in joins[0]
+    assert got.count() == 81
