@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from facetable.functions.names import quote
 from facetable.sources.files import read_parquet
 
 LISTING = "database string, `table` string, full_name string"
@@ -28,18 +31,43 @@ def create_table(frame: DataFrame, table_name: str, provider: str = "parquet") -
     """Create or fully replace a table with the rows and schema of ``frame``.
 
     Every task writes the split it read, so nothing is shuffled.  A catalog
-    plug-in (Iceberg, for one) replaces the table in one step.  The built-in
-    catalog cannot: it drops the old table first, and a job that fails in
-    between leaves none.  Spark refuses to replace a table by a query on itself.
+    plug-in (Iceberg, for one) replaces the table in one step.  In the built-in
+    catalog the new rows are written to a table of another name first, which then
+    takes the place of the old one: a job that fails leaves the old table as it was, and
+    a frame may read the table it replaces.  Between the two renames there is no table of
+    the name for a moment; the old one is dropped last.
     """
     spark = frame.sparkSession
     if _has_plugin(spark, table_name):
         frame.writeTo(table_name).using(provider).createOrReplace()
+    elif spark.catalog.tableExists(table_name):
+        _replace(frame, table_name, provider)
     else:
-        frame.write.format(provider).mode("overwrite").saveAsTable(table_name)
+        frame.write.format(provider).saveAsTable(table_name)
     return scan_table(spark, table_name)
 
 
+def _replace(frame: DataFrame, table_name: str, provider: str) -> None:
+    spark, mark = frame.sparkSession, uuid.uuid4().hex
+    *path, name = _parts(table_name)
+    new, old = (".".join(map(quote, [*path, f"{name}_{label}_{mark}"])) for label in ("new", "old"))
+    own = ".".join(map(quote, [*path, name]))
+    try:
+        frame.write.format(provider).saveAsTable(new)
+        spark.sql(f"ALTER TABLE {own} RENAME TO {old}")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"ALTER TABLE {new} RENAME TO {own}")
+    spark.sql(f"DROP TABLE {old}")
+
+
+def _parts(table_name: str) -> list[str]:
+    """The parts of a name, without quotes."""
+    found = re.findall(r"`(?:[^`]|``)*`|[^.`]+", table_name)
+    return [p[1:-1].replace("``", "`") if p.startswith("`") else p for p in found]
+
+
 def scan_table(spark: SparkSession, table_name: str) -> DataFrame:
     """All rows and columns of a table."""
     return spark.table(table_name)

@@ -4,6 +4,7 @@ import pathlib
 from unittest.mock import MagicMock
 
 import pytest
+from pyspark.sql import functions as F
 
 from facetable import (
     TableNotFound,
@@ -55,6 +56,26 @@ def test_create_replaces_rows_and_schema(spark, data, database):
     assert scan_table(spark, name).count() == 25
 
 
+def test_a_job_that_fails_leaves_the_old_table(spark, data, database):
+    name = f"{database}.kept"
+    create_table_from_parquet(spark, f"{data}/region.parquet", name)
+    before = spark_bag(scan_table(spark, name))
+    bad = spark.range(100).select(F.when(F.col("id") == 77, F.raise_error(F.lit("no"))).otherwise("x").alias("a"))
+    with pytest.raises(Exception, match="no"):
+        create_table(bad, name)
+    assert spark_bag(scan_table(spark, name)) == before
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()] == ["kept"]
+
+
+def test_a_table_may_be_replaced_by_a_query_on_itself(spark, data, database):
+    for name in (f"{database}.own_rows", f"`{database}`.`quoted`"):
+        create_table_from_parquet(spark, f"{data}/nation.parquet", name)
+        create_table(scan_table(spark, name).where("n_nationkey < 5"), name)
+        assert scan_table(spark, name).count() == 5
+    names = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()]
+    assert sorted(names) == ["own_rows", "quoted"]
+
+
 def test_a_table_is_not_made_from_its_own_files(spark, data, database):
     name = f"{database}.own"
     create_table_from_parquet(spark, f"{data}/region.parquet", name)
