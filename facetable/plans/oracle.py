@@ -221,6 +221,15 @@ ORACLE: dict[str, str] = {
           ON a.session_start <= b.session_end AND b.session_start <= a.session_end AND a.user_id <> b.user_id
         GROUP BY ALL
     """,
+    "table_changes": """
+        SELECT o_orderkey, o_custkey, o_orderpriority,
+               CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2
+                    WHEN o_orderstatus = 'F' AND o_orderpriority LIKE '1%' THEN o_totalprice + 1
+                    ELSE o_totalprice END AS o_totalprice,
+               CASE WHEN o_orderstatus = 'F' AND o_orderpriority LIKE '1%' THEN 'R'
+                    ELSE o_orderstatus END AS o_orderstatus
+        FROM orders WHERE NOT (o_orderstatus = 'O' AND o_totalprice < 50000)
+    """,
     "asof_purchases": """
         WITH purchases AS (
           SELECT user_id, ts, max(event_id) AS purchase_id, arg_max(value, event_id) AS value

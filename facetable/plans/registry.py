@@ -42,6 +42,7 @@ from facetable.sources import (
     read_parquet,
     scan_table,
 )
+from facetable.sources.changes import delete_rows, update_rows, upsert
 from facetable.streaming import (
     first_seen,
     from_events,
@@ -438,6 +439,22 @@ def sql_ddl_dml(spark: SparkSession, folder: str) -> DataFrame:
     return run_sql(spark, f"SELECT o_orderkey, o_totalprice FROM {database}.open_orders;")
 
 
+def table_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """An update, a delete and an upsert on a table that is partitioned by status."""
+    name = f"{scratch_database(spark, 'changes')}.orders"
+    journal = scratch_path(spark, "journal")
+    orders = _input(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    orders.write.partitionBy("o_orderstatus").saveAsTable(name)
+    update_rows(spark, name, {"o_totalprice": "o_totalprice * 2"}, "o_orderstatus = 'P'", journal)
+    delete_rows(spark, name, "o_orderstatus = 'O' AND o_totalprice < 50000", journal)
+    returned = orders.where("o_orderstatus = 'F' AND o_orderpriority LIKE '1%'").select(
+        "o_orderkey", "o_custkey", (F.col("o_totalprice") + 1).alias("o_totalprice"),
+        F.lit("R").alias("o_orderstatus"), "o_orderpriority",
+    )
+    upsert(returned, name, ["o_orderkey"], journal)
+    return scan_table(spark, name)
+
+
 # Ordered work on keys of any size
 
 
@@ -498,6 +515,7 @@ QUERIES: dict[str, Query] = {
     "staged_export": staged_export,
     "staged_export_orc": staged_export_orc,
     "table_create_scan": table_create_scan,
+    "table_changes": table_changes,
     "describe": table_describe,
     "catalog_list": catalog_list,
     "expose_sql": expose_sql,
