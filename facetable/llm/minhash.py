@@ -47,8 +47,8 @@ ROWS = 5
 LEFT, RIGHT = 256, 1024
 #: Shingles of the sets that a task holds; some 50 MB.
 LEFT_SHINGLES = 2_000_000
-#: Counters by which shingles are ordered from rare to frequent.
-COUNTERS = 1 << 20
+#: Counters by which shingles are ordered from rare to frequent: a table of half a MB.
+COUNTERS = 1 << 16
 
 _rng = np.random.default_rng(20)
 _FACTOR = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
