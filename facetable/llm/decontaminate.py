@@ -55,6 +55,8 @@ BITS = 1024
 WIDTH = 16
 #: Bits of a table of shingles or keys: so many for each, and never more than these.
 BITS_EACH, TABLE_BITS = 256, 1 << 26
+#: Texts with leaks, and items in them, up to which their list is broadcast (some 20 MB).
+BROADCAST = 200_000
 #: First words of windows whose fingerprints are made together.
 TOGETHER = 4096
 
@@ -327,6 +329,14 @@ def text_leaks(
     return best.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(leak)).alias("leaks"))
 
 
+def listed(leaks: DataFrame) -> DataFrame:
+    """Texts with leaks, to be joined with the documents: broadcast if there are few enough,
+    so that whole texts need not be shuffled; otherwise Spark joins by sorting."""
+    found = settled(leaks)
+    size = found.agg(F.count("*") + F.coalesce(F.sum(F.size("leaks")), F.lit(0))).first()[0]
+    return F.broadcast(found) if size <= BROADCAST else found
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -337,7 +347,7 @@ def find_leaks(
     """``docs`` with ``leaks``: the items each one holds, with similarity and place."""
     columns = [c for c in docs.columns if c != "leaks"]
     docs = docs.select(*columns)
-    leaks = text_leaks(docs, benchmark, text_col, short_anywhere, bits)
+    leaks = listed(text_leaks(docs, benchmark, text_col, short_anywhere, bits))
     names = unused([*columns, "leaks"], "k1", "k2")
     found = leaks.select(F.col("k1").alias(names[0]), F.col("k2").alias(names[1]), "leaks")
     keyed = docs.select("*", *[k.alias(c) for k, c in zip(text_keys(F.col(text_col)), names, strict=True)])
@@ -351,7 +361,7 @@ def decontaminate(
     """The rows of ``docs`` that hold no item."""
     columns = [c for c in docs.columns if c != "leaks"]
     docs = docs.select(*columns)
-    leaks = text_leaks(docs, benchmark, text_col, short_anywhere)
+    leaks = listed(text_leaks(docs, benchmark, text_col, short_anywhere))
     names = unused(columns, "k1", "k2")
     keyed = docs.select("*", *[k.alias(c) for k, c in zip(text_keys(F.col(text_col)), names, strict=True)])
     found = leaks.select(F.col("k1").alias(names[0]), F.col("k2").alias(names[1]))

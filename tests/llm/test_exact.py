@@ -420,7 +420,9 @@ def test_plan_does_not_grow_with_the_items(spark, data):
     assert nodes(bench) == nodes(many)
 
 
-def test_items_without_an_id_and_of_one_id(spark):
+@pytest.mark.parametrize("most", [decontaminate.BROADCAST, 0])
+def test_items_without_an_id_and_of_one_id(spark, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "BROADCAST", most)  # beyond it the list is not broadcast
     passage = " ".join(f"w{k}" for k in range(30))
     other = " ".join(f"v{k}" for k in range(30))
     items = [(None, passage), (7, passage), (7, passage), (8, other), (8, f"{other} end"), (9, "- ")]
