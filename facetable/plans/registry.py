@@ -484,7 +484,7 @@ def overlap_sessions(spark: SparkSession, folder: str) -> DataFrame:
     mine = sessions(_input(spark, folder, "events"), ["user_id"], "ts", 1800).drop("n_rows")
     others = mine.toDF("other_id", "other_start", "other_end")
     spans = ("session_start", "session_end"), ("other_start", "other_end")
-    pairs = overlap_join(mine, others, *spans, smallest_seconds=300).where("user_id <> other_id")
+    pairs = overlap_join(mine, others, *spans, smallest_seconds=300, n_sizes=4).where("user_id <> other_id")
     return pairs.groupBy("user_id", "session_start", "session_end").agg(F.count("*").alias("n_others"))
 
 

@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -43,12 +44,12 @@ def frame(spark, rows, side):
 
 
 @pytest.mark.parametrize("keyed", [True, False])
-@pytest.mark.parametrize("smallest", [1, 10, 3600])
-def test_every_pair_once(spark, keyed, smallest):
+@pytest.mark.parametrize(("smallest", "sizes"), [(1, 10), (10, 2), (3600, 1)])
+def test_every_pair_once(spark, keyed, smallest, sizes):
     rng = random.Random(smallest)
     left, right = stretches(rng, 160), stretches(rng, 120)
     on = [("lkey", "rkey")] if keyed else []
-    got = overlap_join(frame(spark, left, "l"), frame(spark, right, "r"), ("lfrom", "lto"), ("rfrom", "rto"), smallest, on)
+    got = overlap_join(frame(spark, left, "l"), frame(spark, right, "r"), ("lfrom", "lto"), ("rfrom", "rto"), smallest, on, sizes)
     assert got.columns == ["lid", "lkey", "lfrom", "lto", "rid", "rkey", "rfrom", "rto"]
     assert Counter((r.lid, r.rid) for r in got.select("lid", "rid").collect()) == pairs(left, right, keyed)
 
@@ -78,3 +79,11 @@ def test_the_join_has_equal_keys(spark):
     joins = [line for line in plan.splitlines() if "Join" in line]
     assert len(joins) == 1 and "bucket" in joins[0] and "size" in joins[0]
     assert got.count() == 81
+
+
+def test_short_stretches_do_not_meet_in_large_buckets(spark):
+    """Twenty thousand moments far apart: as guests they are in one large bucket, and not compared."""
+    rows = [(k, 1, 10 * k, 10 * k) for k in range(20_000)]
+    start = time.perf_counter()
+    got = overlap_join(frame(spark, rows, "l"), frame(spark, rows, "r"), ("lfrom", "lto"), ("rfrom", "rto"), 1)
+    assert got.count() == 20_000 and time.perf_counter() - start < 60
