@@ -302,6 +302,32 @@ def test_base_spans_do_not_loosen_a_threshold():
     assert pii.calibrated(kinds, y, score, free | True)[0] > 0.7
 
 
+def test_trees_and_thresholds_rest_on_every_row(spark, monkeypatch):
+    """Only the last rows by the hash that a sample once went by hold addresses."""
+    calls = []
+    plain = pii.calibrated
+    monkeypatch.setattr(pii, "calibrated", lambda *a: calls.append(a) or plain(*a))
+    ids = [r.id for r in spark.range(2600).orderBy(F.xxhash64("id"), "id").collect()]
+    docs = [(k, "at 5 x" if n < 2000 else f"host 10.0.0.{n % 256} up") for n, k in enumerate(ids)]
+    docs += [(None, "host 10.0.0.1 up")] * 2 + [(9000, None), (9001, "")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    pii.fit(frame)
+    kinds, y, _, _ = calls[0]
+    assert ((kinds == pii.KINDS.index("ip")) & (y == 1)).any()
+    counted = pii.evidence(frame).where("NOT made").groupBy("kind", "hit", "y").agg(F.sum("n")).collect()
+    assert list(map(tuple, counted)) == [(pii.KINDS.index("ip"), True, True, 602)]
+
+
+def test_a_large_table_weighs_as_much_as_a_bounded_one(spark):
+    rows = [(True, 3, False, 400), (False, 3, False, 50_000), (False, 0, True, 9_000_000), (False, 6, False, 7)]
+    frame = spark.createDataFrame(rows, "made boolean, kind int, hit boolean, n bigint")
+    weight = pii.weights(frame, 4 * pii.TEXTS)
+    assert weight[1, 3, 0] == pytest.approx(pii.SPANS / (400 + 12_500))
+    assert weight[0, 3, 0] == pytest.approx(weight[1, 3, 0] / 4)
+    assert weight[0, 0, 1] * 9_000_000 == pytest.approx(pii.SPANS)
+    assert weight[0, 6, 0] == 0.25 and (pii.weights(frame.where("n = 7"), 9) == 1).all()
+
+
 # Benchmark passages
 
 

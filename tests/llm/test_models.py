@@ -32,6 +32,29 @@ def test_boosting_learns_and_is_flat():
         assert total == pytest.approx(forest.raw(row[None])[0])
 
 
+def test_boosting_over_a_table_equals_that_of_its_rows(spark):
+    """Rows with a count are as many rows; more values than bins, and features of one value."""
+    rng = np.random.default_rng(4)
+    rows = np.column_stack([rng.integers(0, 5, 400), rng.integers(0, 300, 400), np.ones(400), rng.integers(0, 2, 400)])
+    rows = rows.astype(float)
+    labels = ((rows[:, 0] > 2) ^ (rows[:, 1] > 140)) & (rows[:, 3] == 1) | (rng.random(400) < 0.05)
+    times = rng.integers(1, 4, 400)
+    some = [(r.tolist(), bool(y), int(n) * boosting.UNIT) for r, y, n in zip(rows, labels, times, strict=True)]
+    table = spark.createDataFrame(some, "x array<double>, y boolean, units bigint")
+    want = boosting.train(np.repeat(rows, times, 0), np.repeat(labels, times), trees=3, depth=3)
+    got = boosting.train_over(table, 4, trees=3, depth=3)
+    assert got.start == pytest.approx(want.start) and got.raw(rows) == pytest.approx(want.raw(rows), abs=1e-6)
+    assert got.leaf.std() > 0
+    again = boosting.train_over(table.repartition(5).orderBy("units"), 4, trees=3, depth=3)
+    assert np.array_equal(again.leaf, got.leaf) and np.array_equal(again.threshold, got.threshold)
+
+
+@pytest.mark.parametrize("labels", [[], [True, True], [False]])
+def test_boosting_over_a_table_without_two_labels(spark, labels):
+    table = spark.createDataFrame([([0.0, 1.0], y, boosting.UNIT) for y in labels], "x array<double>, y boolean, units bigint")
+    assert boosting.train_over(table, 2).start == boosting.train(np.zeros((len(labels), 2)), np.array(labels)).start
+
+
 @pytest.mark.parametrize("labels", [[], [1, 1, 1], [0, 0]])
 def test_boosting_without_two_labels(labels):
     forest = boosting.train(np.zeros((len(labels), 3)), np.array(labels))
